@@ -178,9 +178,9 @@ def asof_join(
     """
     tie = right_tie or []
     found = F.struct(F.col(ts).alias("__at"), *values)
-    marks = _bucketed(right.select(*by, ts, *[F.col(t).alias(f"__tie_{t}") for t in tie], found.alias("__found")), ts, bucket_minutes)
-    marks = marks.withColumn("__side", F.lit(0))
     ties = [f"__tie_{t}" for t in tie]
+    marks = right.select(*by, ts, *[F.col(t).alias(f"__tie_{t}") for t in tie], found.alias("__found"))
+    marks = _bucketed(marks, ts, bucket_minutes).withColumn("__side", F.lit(0))
     probes = _bucketed(left, ts, bucket_minutes).withColumn("__side", F.lit(1))
 
     latest = marks.groupBy(*by, _BUCKET).agg(F.max_by("__found", F.struct(ts, *ties)).alias("__found"))
@@ -196,8 +196,8 @@ def asof_join(
     carried = _with_seeds(merged, seeds).withColumn("__hit", F.last("__found", ignorenulls=True).over(frame))
     hit = F.col("__hit")
     if tolerance_minutes is not None:
-        age = F.timestamp_diff("SECOND", F.col("__hit.__at"), F.col(ts))
-        hit = F.when(age <= tolerance_minutes * 60, hit)
+        longest = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(tolerance_minutes))
+        hit = F.when(F.col(ts) - F.col("__hit.__at") <= longest, hit)
     rows = carried.filter((F.col(_KIND) == 1) & (F.col("__side") == 1)).withColumn("__hit", hit)
     return rows.select(*left.columns, *[F.col(f"__hit.{v}").alias(v) for v in values])
 
