@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialwright.examples import cleaning, lookups, marts, reshaping, series  # noqa: F401
+from dialwright.examples import cleaning, loads, lookups, marts, members, parsing, reshaping, series  # noqa: F401
 from dialwright.examples.registry import ORACLES, QUERIES
 
 
