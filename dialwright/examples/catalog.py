@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from dialwright.examples import cleaning, loads, lookups, marts, members, parsing, reshaping, series  # noqa: F401
+from dialwright.examples import (  # noqa: F401
+    cleaning,
+    dashboards,
+    forecasting,
+    loads,
+    lookups,
+    marts,
+    members,
+    parsing,
+    raw_files,
+    reshaping,
+    series,
+    streams,
+)
 from dialwright.examples.registry import ORACLES, QUERIES
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -30,6 +34,16 @@ def _pipeline(features: list[str], regressor) -> Pipeline:
     return Pipeline(stages=[assembler, regressor])
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a feature table for the several passes of a fit; lost blocks are recomputed."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def boosted_trees(
     target: str, trees: int = fv.GBT_TREES, learning_rate: float = fv.GBT_LEARNING_RATE, depth: int = fv.GBT_DEPTH
 ) -> GBTRegressor:
@@ -41,7 +55,8 @@ def boosted_trees(
 
 def train_gbt(df: DataFrame, features: list[str], target: str, **settings: object) -> PipelineModel:
     """Fit boosted trees on a feature table."""
-    return _pipeline(features, boosted_trees(target, **settings)).fit(df)
+    with _kept(df) as rows:
+        return _pipeline(features, boosted_trees(target, **settings)).fit(rows)
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
@@ -71,17 +86,18 @@ def select_model(
     """
     evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
     scores, fitted = [], {}
-    for name, regressor in candidates(target, trees).items():
-        validator = CrossValidator(
-            estimator=_pipeline(features, regressor),
-            estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=evaluator,
-            numFolds=folds,
-            seed=_SEED,
-        )
-        result = validator.fit(df)
-        scores.append((name, float(result.avgMetrics[0])))
-        fitted[name] = result.bestModel
+    with _kept(df) as rows:
+        for name, regressor in candidates(target, trees).items():
+            validator = CrossValidator(
+                estimator=_pipeline(features, regressor),
+                estimatorParamMaps=ParamGridBuilder().build(),
+                evaluator=evaluator,
+                numFolds=folds,
+                seed=_SEED,
+            )
+            result = validator.fit(rows)
+            scores.append((name, float(result.avgMetrics[0])))
+            fitted[name] = result.bestModel
     best = min(scores, key=lambda s: s[1])[0]
-    rows = [(name, rmse, name == best) for name, rmse in scores]
-    return local_frame(df.sparkSession, rows, "algorithm string, rmse double, is_best boolean"), fitted[best]
+    report = [(name, rmse, name == best) for name, rmse in scores]
+    return local_frame(df.sparkSession, report, "algorithm string, rmse double, is_best boolean"), fitted[best]

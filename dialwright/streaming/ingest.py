@@ -47,18 +47,27 @@ def ingest_new_files(stream: DataFrame, table: str, checkpoint: str) -> Streamin
     )
 
 
+def _with_watermark(stream: DataFrame, ts: str, delay: str) -> DataFrame:
+    """Watermark on ``__event_time``: Spark accepts only zoned timestamps as event time."""
+    return stream.withColumn("__event_time", F.col(ts).cast("timestamp")).withWatermark("__event_time", delay)
+
+
 def dedupe_stream(stream: DataFrame, ts: str, keys: list[str], delay: str) -> DataFrame:
     """First row per key; a key is forgotten once the watermark has passed it."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    return _with_watermark(stream, ts, delay).dropDuplicatesWithinWatermark(keys).drop("__event_time")
 
 
 def tumbling(
     stream: DataFrame, ts: str, keys: list[str], aggs: dict[str, Column], delay: str, width: str = "15 minutes"
 ) -> DataFrame:
     """Aggregates per fixed window, final once the watermark has passed the window."""
-    grouped = stream.withWatermark(ts, delay).groupBy(F.window(ts, width), *keys)
+    type_ = stream.schema[ts].dataType
+    grouped = _with_watermark(stream, ts, delay).groupBy(F.window("__event_time", width), *keys)
     return grouped.agg(*[c.alias(name) for name, c in aggs.items()]).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, *aggs
+        F.col("window.start").cast(type_).alias("window_start"),
+        F.col("window.end").cast(type_).alias("window_end"),
+        *keys,
+        *aggs,
     )
 
 
