@@ -15,7 +15,8 @@ from dialwright.functions.keys import date_key, floor_minutes
 from dialwright.operators import dimensions
 from dialwright.operators.aggregates import bounds
 from dialwright.plans import facts
-from dialwright.session import local_frame
+from dialwright.session import local_frame, shared_dir
+from dialwright.sources.sinks import write_table
 
 UNIT_SCHEMA = (
     "unit_key bigint, unit_id int, unit_name string, rated_kwp decimal(18,4), string_count int, "
@@ -48,6 +49,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A layer boundary: the rows as a table in the shared folder."""
+    path = shared_dir(df.sparkSession, label)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- device readings: every event is one reading of a unit -----------------
 
 STATUS_OF_EVENT = {"view": 0, "click": 6, "error": 14, "signup": 3}
@@ -405,15 +413,15 @@ def division_meta(spark: SparkSession) -> DataFrame:
     )
 
 
-def room_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = bookings(spark, sf_dir).select(room_code("room_no").alias("room"))
-    return dimensions.load_rooms(local_frame(spark, [], ROOM_SCHEMA), codes, "room", "Main", BUILDING)
+def room_dim(silver: DataFrame) -> DataFrame:
+    empty = local_frame(silver.sparkSession, [], ROOM_SCHEMA)
+    return dimensions.load_rooms(empty, silver, "Nom", "Main", BUILDING)
 
 
-def division_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = bookings(spark, sf_dir).select(division_name("division_no").alias("division"))
+def division_dim(silver: DataFrame) -> DataFrame:
+    spark = silver.sparkSession
     return dimensions.load_divisions(
-        local_frame(spark, [], DIVISION_SCHEMA), names, "division", division_meta(spark)
+        local_frame(spark, [], DIVISION_SCHEMA), silver, "Division", division_meta(spark)
     )
 
 
@@ -483,8 +491,9 @@ BOOKING_COLUMNS = {
 
 
 def booking_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rooms, divisions = room_dim(spark, sf_dir), division_dim(spark, sf_dir)
-    rows, _ = facts.booking_fact(silver_bookings(spark, sf_dir), rooms, divisions, BOOKING_COLUMNS)
+    silver = stored(silver_bookings(spark, sf_dir), "silver-bookings")
+    rooms, divisions = room_dim(silver), division_dim(silver)
+    rows, _ = facts.booking_fact(silver, rooms, divisions, BOOKING_COLUMNS)
     return rows, rooms, divisions
 
 

@@ -80,7 +80,7 @@ def measure_dimension(spark, sf_dir):
 
 @query("division_dimension", "SELECT division_name, division_code, school_name, true AS is_active FROM {division_dim}")
 def division_dimension(spark, sf_dir):
-    return base.division_dim(spark, sf_dir).drop("division_key")
+    return base.division_dim(base.silver_bookings(spark, sf_dir)).drop("division_key")
 
 
 @query(
@@ -89,7 +89,7 @@ def division_dimension(spark, sf_dir):
        CAST(NULL AS INTEGER) AS nominal_capacity, true AS is_active FROM {room_dim}""",
 )
 def room_dimension(spark, sf_dir):
-    return base.room_dim(spark, sf_dir).drop("room_key")
+    return base.room_dim(base.silver_bookings(spark, sf_dir)).drop("room_key")
 
 
 @query(

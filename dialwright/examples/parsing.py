@@ -31,7 +31,8 @@ def sensor_timestamps(spark, sf_dir):
     day = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "dd.MM.yyyy")).otherwise(F.date_format("ts", "dd.MM.yy"))
     clock = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "HH:mm")).otherwise(F.date_format("ts", "HH:mm:ss"))
     noisy = F.concat(F.lit('"'), day, F.lit(' "'))
-    return base.table(spark, sf_dir, "events").select("event_id", text.sensor_timestamp(noisy, clock).alias("parsed"))
+    rows = base.table(spark, sf_dir, "events").select("event_id", noisy.alias("day"), clock.alias("clock"))
+    return text.with_timestamp(rows, "day", "clock", "parsed").select("event_id", "parsed")
 
 
 @query(

@@ -33,20 +33,22 @@ def key_to_date(key: Column | str) -> Column:
 
 def minutes_of_clock(text: Column | str) -> Column:
     """``HH:mm`` or ``H:mm`` text to minutes since midnight, NULL if malformed."""
-    parts = F.split(F.trim(_col(text)), ":")
-    return (F.get(parts, F.lit(0)).try_cast("int") * 60 + F.get(parts, F.lit(1)).try_cast("int")).cast("int")
+    text = F.trim(_col(text))
+    hour = F.substring_index(text, ":", 1).try_cast("int")
+    minute = F.substring_index(F.substring_index(text, ":", 2), ":", -1).try_cast("int")
+    return F.when(text.contains(":"), hour * 60 + minute)
 
 
 def floor_minutes(ts: Column | str, minutes: int) -> Column:
-    """Floor a timestamp to a step counted from midnight.
+    """Floor to a step counted from midnight; the result has no time zone.
 
-    Works on both timestamp types and keeps the type, because only an interval
-    is subtracted; no detour over epoch seconds or the session time zone.
+    Counted in whole minutes since a day long before any data, so there is no
+    detour over epoch seconds or the session time zone, and the generated code
+    stays small wherever the expression is repeated.
     """
-    ts = _col(ts)
-    excess = (F.hour(ts) * 60 + F.minute(ts)) % F.lit(minutes)
-    seconds = F.extract(F.lit("SECOND"), ts)
-    return ts - F.make_dt_interval(F.lit(0), F.lit(0), excess, seconds)
+    start = F.lit("0001-01-01").cast("timestamp_ntz")
+    passed = F.timestamp_diff("MINUTE", start, _col(ts).cast("timestamp_ntz"))
+    return F.timestamp_add("MINUTE", (passed - passed % minutes).cast("int"), start)
 
 
 def assign_keys(

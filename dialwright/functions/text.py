@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialwright import fixed_values as fv
@@ -33,50 +33,75 @@ def parse_timestamp(text: Column, formats: list[str]) -> Column:
     return F.coalesce(*attempts)
 
 
-def sensor_timestamp(date_text: Column | str, time_text: Column | str) -> Column:
-    """Two- or four-digit years, with or without seconds.
+def _number(c: Column) -> Column:
+    return c.try_cast("int")
 
-    The year width and the presence of seconds are decided by the text itself,
-    because a four-digit pattern would read ``23`` as the year 23.
+
+def clock_parts(clock: Column | str) -> tuple[Column, Column, Column]:
+    """Hour, minute and second of ``H:mm[:ss]`` text; a missing second is 0."""
+    parts = F.split(F.trim(_col(clock)), ":")
+    seconds = F.when(F.size(parts) == 2, F.lit(0)).when(F.size(parts) == 3, _number(F.get(parts, F.lit(2))))
+    return _number(F.get(parts, F.lit(0))), _number(F.get(parts, F.lit(1))), seconds
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns that a later filter will test.
+
+    Catalyst pushes a filter below a projection by repeating its expressions
+    there, which for a parse means doing it twice, in one oversized generated
+    method.  A filter stays above a generator, so the values come out of an
+    ``inline`` over one struct.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def with_timestamp(df: DataFrame, date_col: str, clock_col: str, out: str) -> DataFrame:
+    """Add the timestamp of a raw date cell and a raw clock cell.
+
+    Dates are ISO, ``dd.MM.yy`` or ``dd.MM.yyyy`` (two-digit years are of this
+    century); clocks have seconds or not; noise around them is ignored;
+    anything else gives NULL.  Built from numbers, as no format pattern reads
+    all widths.  Extraction is a projection of its own, or each use of a token
+    would extract it again.
     """
-    day = first_match(date_text, fv.SENSOR_DATE_PATTERN)
-    clock = first_match(time_text, fv.SENSOR_TIME_PATTERN)
-    long_year, short_year = fv.SENSOR_DATE_FORMATS
-    with_seconds, without_seconds = fv.SENSOR_TIME_FORMATS
-    both = F.concat_ws(" ", day, clock)
-
-    def parsed(day_format: str, clock_format: str) -> Column:
-        return F.try_to_timestamp(both, F.lit(f"{day_format} {clock_format}")).cast("timestamp_ntz")
-
-    long_clock = F.length(clock) > 5
-    return F.when(
-        F.length(day) == 10,
-        F.when(long_clock, parsed(long_year, with_seconds)).otherwise(parsed(long_year, without_seconds)),
-    ).when(
-        F.length(day) == 8,
-        F.when(long_clock, parsed(short_year, with_seconds)).otherwise(parsed(short_year, without_seconds)),
+    tokens = df.withColumns(
+        {
+            "__date": F.split(first_match(date_col, f"{fv.ISO_DATE_PATTERN}|{fv.SENSOR_DATE_PATTERN}"), "[.-]"),
+            "__clock": first_match(clock_col, fv.SENSOR_TIME_PATTERN),
+        }
     )
+    first, month, last = (F.get("__date", F.lit(i)) for i in range(3))
+    iso = F.length(first) == 4
+    year = F.when(iso, first).when(F.length(last) == 4, last).when(F.length(last) == 2, F.concat(F.lit("20"), last))
+    stamp = F.try_make_timestamp_ntz(
+        _number(year), _number(month), _number(F.when(iso, last).otherwise(first)), *clock_parts("__clock")
+    )
+    return computed_once(tokens, {out: stamp}).drop("__date", "__clock")
 
 
 def month_text_date(c: Column | str, months: dict[str, int] | None = None) -> Column:
     """``8 janv. 2023`` to a date; impossible days and unknown months give NULL."""
     months = fv.FRENCH_MONTHS if months is None else months
+    text = F.trim(_col(c))
+    token = F.lower(F.substring_index(F.substring_index(text, " ", 2), " ", -1))
+    # A map evaluates the token once; a CASE chain would do so per month.
     numbers = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
-    parts = F.split(F.trim(_col(c)), r"\s+")
-    month = F.try_element_at(numbers, F.lower(F.get(parts, F.lit(1))))
-    iso = F.concat_ws(
-        "-",
-        F.get(parts, F.lit(2)),
-        F.lpad(month.cast("string"), 2, "0"),
-        F.lpad(F.get(parts, F.lit(0)), 2, "0"),
-    )
-    return F.when(month.isNotNull(), F.try_to_date(iso, "yyyy-MM-dd"))
+    number = F.try_element_at(numbers, token)
+    zero = F.lit(0)
+    return F.try_make_timestamp_ntz(
+        _number(F.substring_index(text, " ", -1)),
+        number,
+        _number(F.substring_index(text, " ", 1)),
+        zero,
+        zero,
+        zero,
+    ).cast("date")
 
 
 def at_clock(day: Column | str, clock: Column | str) -> Column:
-    """Date plus ``HH:mm[:ss]`` text to a timestamp; NULL when malformed."""
-    text = F.concat_ws(" ", F.date_format(_col(day), "yyyy-MM-dd"), F.trim(_col(clock)))
-    return parse_timestamp(text, ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd H:mm"])
+    """Date plus ``H:mm[:ss]`` text to a timestamp; NULL when malformed."""
+    day = _col(day)
+    return F.try_make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), *clock_parts(clock))
 
 
 def on_day(day: Column | str, clock_ts: Column | str) -> Column:

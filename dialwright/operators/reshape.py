@@ -22,14 +22,18 @@ def unpivot_groups(
     ``groups`` maps a unit to ``{measure: source column}``.  The expansion is a
     narrow ``inline`` over an array of structs: no shuffle.
     """
+    # Converting after the expansion needs one cast per measure instead of one
+    # per measure and unit; measures whose sources differ in type go first.
+    early = {m for m in types if len({df.schema[g[m]].dataType for g in groups.values()}) > 1}
     structs = [
         F.struct(
             F.lit(unit).alias(unit_col),
-            *[F.col(source).try_cast(types[m]).alias(m) for m, source in measures.items()],
+            *[(F.col(g[m]).try_cast(types[m]) if m in early else F.col(g[m])).alias(m) for m in types],
         )
-        for unit, measures in groups.items()
+        for unit, g in groups.items()
     ]
-    return df.select(*ids, F.inline(F.array(*structs)))
+    long = df.select(*ids, F.inline(F.array(*structs)))
+    return long.select(*ids, unit_col, *[F.col(m).try_cast(t).alias(m) for m, t in types.items()])
 
 
 def pivot_measures(
@@ -68,16 +72,17 @@ def explode_slots(
     first = floor_minutes(start, step_minutes)
     last = floor_minutes(end, step_minutes)
     if not end_inclusive:
-        on_boundary = last == F.col(end)
-        last = F.when(on_boundary, last - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(step_minutes))).otherwise(last)
-    ranged = df.withColumns({"__first": first, "__last": last}).filter(F.col("__first") <= F.col("__last"))
-    days = ranged.withColumn(
-        "__day", F.explode(F.sequence(F.to_date("__first"), F.to_date("__last"), F.expr("interval 1 day")))
-    )
-    midnight = F.col("__day").cast(df.schema[start].dataType)
-    last_of_day = midnight + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(_MINUTES_PER_DAY - step_minutes))
+        on_boundary = last == F.col(end).cast("timestamp_ntz")
+        last = F.when(on_boundary, F.timestamp_add("MINUTE", F.lit(-step_minutes), last)).otherwise(last)
+    ranged = df.withColumns({"__first": first, "__last": last})
+    day = F.expr("interval 1 day")
+    days = F.sequence(F.col("__first").cast("date"), F.col("__last").cast("date"), day)
+    # An empty interval explodes a NULL, which yields no row.
+    daily = ranged.withColumn("__day", F.explode(F.when(F.col("__first") <= F.col("__last"), days)))
+    midnight = F.col("__day").cast("timestamp_ntz")
+    last_of_day = F.timestamp_add("MINUTE", F.lit(_MINUTES_PER_DAY - step_minutes), midnight)
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(step_minutes))
-    return days.withColumn(
+    return daily.withColumn(
         slot,
         F.explode(F.sequence(F.greatest("__first", midnight), F.least("__last", last_of_day), step)),
     ).drop("__first", "__last", "__day")

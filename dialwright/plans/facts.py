@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dialwright import fixed_values as fv
 from dialwright.functions.keys import date_key, minutes_of_clock, time_key
 from dialwright.functions.measures import priced, recurring, zero_as_null
-from dialwright.functions.text import month_text_date
+from dialwright.functions.text import computed_once, month_text_date
 from dialwright.operators import clean, joins
 from dialwright.operators.increments import after_watermark, incremental_append
 
@@ -134,32 +134,38 @@ def booking_fact(
     special = {"room", "division", "day", "start", "end", "recurrence_start", "recurrence_end", "reservation_no"}
     described = [c for c in columns if c not in special]
     src = {name: F.col(f"`{source}`") for name, source in columns.items()}
-    typed = bookings.select(
-        month_text_date(src["day"], months).alias("day"),
-        src["room"].alias("room_code"),
-        src["division"].alias("division_name"),
-        minutes_of_clock(src["start"]).alias("start_time_key"),
-        minutes_of_clock(src["end"]).alias("end_time_key"),
-        zero_as_null(src["reservation_no"]).alias("reservation_no"),
-        month_text_date(src["recurrence_start"], months).alias("recurrence_start"),
-        month_text_date(src["recurrence_end"], months).alias("recurrence_end"),
-        *[src[c].cast("string").alias(c) for c in described],
-    )
-    dated = clean.require_not_null(typed, ["day"]).withColumns(
+    raw = bookings.select(*[src[c].alias(c) for c in columns])
+    parsed = computed_once(
+        raw,
         {
-            "date_key": date_key("day"),
-            "year": F.year("day"),
-            "month": F.month("day"),
-            "duration_minutes": F.col("end_time_key") - F.col("start_time_key"),
-            "is_recurring": recurring("recurrence_start", "recurrence_end"),
-        }
+            "booked_on": month_text_date("day", months),
+            "start_time_key": minutes_of_clock("start"),
+            "end_time_key": minutes_of_clock("end"),
+            "recurs_from": month_text_date("recurrence_start", months),
+            "recurs_to": month_text_date("recurrence_end", months),
+        },
+    )
+    dated = clean.require_not_null(parsed, ["booked_on"]).select(
+        F.col("room").alias("room_code"),
+        F.col("division").alias("division_name"),
+        date_key("booked_on").alias("date_key"),
+        F.year("booked_on").alias("year"),
+        F.month("booked_on").alias("month"),
+        "start_time_key",
+        "end_time_key",
+        (F.col("end_time_key") - F.col("start_time_key")).alias("duration_minutes"),
+        zero_as_null("reservation_no").alias("reservation_no"),
+        F.col("recurs_from").alias("recurrence_start"),
+        F.col("recurs_to").alias("recurrence_end"),
+        recurring("recurs_from", "recurs_to").alias("is_recurring"),
+        *[F.col(c).cast("string").alias(c) for c in described],
     )
     keyed = joins.lookup_key(dated, rooms, {"room_code": "room_code"}, ["room_key"], trim=True)
     keyed = joins.lookup_key(keyed, divisions, {"division_name": "division_name"}, ["division_key"], trim=True)
     good, rejects = clean.split_rejects(keyed, ["room_key", "division_key"])
     key = ["date_key", "start_time_key", "room_key", "reservation_no"]
     order = ["end_time_key", "division_name", "recurrence_start", "recurrence_end", *described]
-    return clean.dedupe_by_key(good, key, order).drop("day", "room_code", "division_name"), rejects
+    return clean.dedupe_by_key(good, key, order).drop("room_code", "division_name"), rejects
 
 
 def prediction_fact(

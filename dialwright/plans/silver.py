@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialwright import fixed_values as fv
-from dialwright.functions.text import at_clock, first_number, parse_timestamp, pseudonym, sensor_timestamp
+from dialwright.functions.text import first_number, parse_timestamp, pseudonym, with_timestamp
 from dialwright.operators import aggregates, clean, timeseries
 from dialwright.operators.reshape import unpivot_groups
 from dialwright.sources import readers
@@ -33,10 +33,8 @@ def device_readings(raw: DataFrame, units: int = fv.DEVICE_LOG_UNITS) -> DataFra
     Dates may be ISO or dotted; the clock is used as it stands, so no spurious
     date can leak in from it.
     """
-    iso = at_clock(F.try_to_date("date_raw", "yyyy-MM-dd"), "time_raw")
-    stamped = clean.require_not_null(raw, ["date_raw", "time_raw"]).withColumn(
-        "log_timestamp", F.coalesce(iso, sensor_timestamp("date_raw", "time_raw"))
-    )
+    present = clean.require_not_null(raw, ["date_raw", "time_raw"])
+    stamped = with_timestamp(present, "date_raw", "time_raw", "log_timestamp")
     groups = {u: {m: f"{m}_{u}" for m in _DEVICE_TYPES} for u in range(1, units + 1)}
     long = unpivot_groups(stamped, ["log_timestamp"], "unit_id", groups, _DEVICE_TYPES)
     flagged = clean.flag_equals(long, "status", fv.FAILURE_STATUS_CODE, "is_failure")
@@ -47,8 +45,8 @@ def device_readings(raw: DataFrame, units: int = fv.DEVICE_LOG_UNITS) -> DataFra
 def sensor_readings(raw: DataFrame, value_col: str, delta_col: str) -> DataFrame:
     """Sensor export cells to (ts, value, delta); junk lines are dropped."""
     kept = clean.matching(raw, {"date_raw": fv.SENSOR_DATE_PATTERN, "time_raw": fv.SENSOR_TIME_PATTERN})
-    typed = kept.select(
-        sensor_timestamp("date_raw", "time_raw").alias("ts"),
+    typed = with_timestamp(kept, "date_raw", "time_raw", "ts").select(
+        "ts",
         first_number(value_col).alias(value_col),
         first_number(delta_col).alias(delta_col),
     )
