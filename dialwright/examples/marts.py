@@ -9,6 +9,7 @@ from dialwright.examples.registry import cte, query
 from dialwright.operators import dimensions, joins
 from dialwright.operators.dimensions import dim_time
 from dialwright.plans import facts, marts
+from dialwright.plans.silver import synthetic_forecast
 from dialwright.session import local_frame
 
 cte(
@@ -125,10 +126,8 @@ def kpi_home_all_slots(spark, sf_dir):
 
 def forecast_parts(spark, sf_dir):
     """Forecast fact with its site and measure dimensions."""
-    from dialwright.plans.silver import synthetic_forecast
-
     raw = base.raw_forecasts(spark, sf_dir)
-    silver = synthetic_forecast(raw, ["North", "South"], base.SYNTHETIC_SITE)
+    silver = base.stored(synthetic_forecast(raw, ["North", "South"], base.SYNTHETIC_SITE), "silver-forecasts")
     sites = dimensions.load_sites(
         local_frame(spark, [], base.SITE_SCHEMA), raw, "Site", base.site_meta(spark), [base.SYNTHETIC_SITE]
     )

@@ -56,16 +56,22 @@ def _order(ts: str, tie: list[str] | None) -> list[str]:
     return [ts, *(tie or [])]
 
 
+def _rank(order: list[str]) -> Column:
+    """Sort key for ``max_by``: the bare timestamp where that suffices.
+
+    A fixed-width key lets Spark use a hash aggregate; a struct needs a sort.
+    """
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _with_previous(
     df: DataFrame, series: list[str], ts: str, value: str, tie: list[str] | None, bucket_minutes: int
 ) -> DataFrame:
     """Add ``__prev``: the value of the previous row of the series."""
     data = _bucketed(df, ts, bucket_minutes)
     order = _order(ts, tie)
-    last = F.max_by(F.struct(value), F.struct(*order))
-    summary = data.groupBy(*series, _BUCKET).agg(last.alias("__last"))
-    carried = summary.withColumn("__last", F.last("__last").over(_past(series)))
-    seeds = carried.filter(F.col("__last").isNotNull()).select(*series, _BUCKET, F.col(f"__last.{value}").alias(value))
+    summary = data.groupBy(*series, _BUCKET).agg(F.max_by(value, _rank(order)).alias(value))
+    seeds = summary.select(*series, _BUCKET, F.last(value).over(_past(series)).alias(value))
     both = _with_seeds(data, seeds)
     return _without_seeds(both.withColumn("__prev", F.lag(value).over(_inside(series, order))), [])
 
@@ -131,7 +137,7 @@ def _carry_last(
     data = _bucketed(df, ts, bucket_minutes)
     order = _order(ts, tie)
     summary = data.groupBy(*series, _BUCKET).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in cols]
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), _rank(order))).alias(c) for c in cols]
     )
     seeds = summary.select(
         *series, _BUCKET, *[F.last(c, ignorenulls=True).over(_past(series)).alias(c) for c in cols]
@@ -183,7 +189,7 @@ def asof_join(
     marks = _bucketed(marks, ts, bucket_minutes).withColumn("__side", F.lit(0))
     probes = _bucketed(left, ts, bucket_minutes).withColumn("__side", F.lit(1))
 
-    latest = marks.groupBy(*by, _BUCKET).agg(F.max_by("__found", F.struct(ts, *ties)).alias("__found"))
+    latest = marks.groupBy(*by, _BUCKET).agg(F.max_by("__found", _rank([ts, *ties])).alias("__found"))
     # A bucket with only left rows needs a seed too, so its key joins the summary.
     wanted = probes.select(*by, _BUCKET).distinct()
     summary = latest.unionByName(wanted, allowMissingColumns=True).groupBy(*by, _BUCKET).agg(
