@@ -71,9 +71,13 @@ def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str, list[str]]]) ->
 def scaffold_days(entities: DataFrame, lo: Column, hi: Column, day: str = "day") -> DataFrame:
     """Every entity on every day from ``lo`` to ``hi``: an expansion, not a cross join.
 
-    The bounds are columns, usually literals or scalar subqueries.
+    The bounds are columns, usually literals or scalar subqueries.  The
+    entities are few but grow by the number of days, so they are spread over
+    the shuffle partitions first; a given number keeps AQE from merging them.
     """
-    return entities.withColumn(day, F.explode(F.sequence(lo.cast("date"), hi.cast("date"), F.expr("interval 1 day"))))
+    partitions = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = entities.repartition(partitions, *entities.columns)
+    return spread.withColumn(day, F.explode(F.sequence(lo.cast("date"), hi.cast("date"), F.expr("interval 1 day"))))
 
 
 def scaffold_minutes(days: DataFrame, step_minutes: int = 15, key: str = "time_key") -> DataFrame:

@@ -17,12 +17,22 @@ def _path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _balanced(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Bring rows of a partition together before writing, in files of sensible size.
+
+    Without this every task writes a file into every partition.  A plain
+    repartition would give a dominant partition to one task; REBALANCE lets
+    AQE split large ones and merge small ones.
+    """
+    return df.hint("rebalance", *keys)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Parquet table, optionally partitioned (facts: by year and month)."""
-    writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        _balanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -37,7 +47,8 @@ def replace_partition(df: DataFrame, path: str, keys: list[str]) -> None:
     them.
     """
     (
-        df.write.mode("overwrite")
+        _balanced(df, keys)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
