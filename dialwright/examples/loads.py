@@ -50,11 +50,12 @@ def incremental_append(spark, sf_dir):
 @query(
     "late_lookback",
     f"""SELECT event_id, user_id, {_DAY_KEY} AS date_key FROM events
-        WHERE {_DAY_KEY} > 20240115 OR ({_DAY_KEY} > 20240110 AND event_id % 10 = 0)""",
+        WHERE {_DAY_KEY} > 20240115 OR ({_DAY_KEY} > 20240110 AND event_type = 'signup')""",
 )
 def late_lookback(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    loaded = _keyed(events).filter("date_key <= 20240115 AND event_id % 10 <> 0")
+    """Signups of loaded days arrive late; those of the reopened days are found."""
+    events = base.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    loaded = _keyed(events).filter("date_key <= 20240115 AND event_type <> 'signup'")
     rows = facts.load_increment(events, "ts", loaded, ["event_id"], _keyed, increments.watermark(loaded), lookback_days=5)
     return rows.select("event_id", "user_id", "date_key")
 

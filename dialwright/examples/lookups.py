@@ -13,11 +13,11 @@ from dialwright.operators import access, aggregates, joins
 @query(
     "lookup_default",
     """SELECT event_id, coalesce(s_nationkey, 99) AS nation FROM events
-       LEFT JOIN (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey % 2 = 0) ON s_suppkey = user_id % 100""",
+       LEFT JOIN (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal > 5000) ON s_suppkey = user_id % 100""",
 )
 def lookup_default(spark, sf_dir):
     rows = base.table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 100).alias("unit"))
-    dim = base.table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0").withColumnRenamed("s_nationkey", "nation")
+    dim = base.table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").withColumnRenamed("s_nationkey", "nation")
     return joins.lookup_key(rows, dim, {"unit": "s_suppkey"}, ["nation"], {"nation": 99}).drop("unit")
 
 
@@ -34,10 +34,10 @@ def lookup_trimmed(spark, sf_dir):
 
 @query(
     "new_members",
-    "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)",
+    "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')",
 )
 def new_members(spark, sf_dir):
-    dim = base.table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").withColumnRenamed("c_custkey", "o_custkey")
+    dim = base.table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").withColumnRenamed("c_custkey", "o_custkey")
     return joins.new_members(base.table(spark, sf_dir, "orders"), dim, ["o_custkey"])
 
 
@@ -193,15 +193,17 @@ def add_grant(spark, sf_dir):
 
 @query(
     "backfill",
-    """SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN c_acctbal
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND c_acctbal IS NOT NULL THEN c_acctbal
          ELSE o_totalprice END AS amount FROM orders
-       LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) ON c_custkey = o_custkey""",
+       LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey""",
 )
 def backfill(spark, sf_dir):
-    orders = base.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("amount"))
-    actuals = base.table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").withColumnRenamed("c_custkey", "o_custkey")
-    filled = joins.backfill(orders, actuals, ["o_custkey"], {"amount": "c_acctbal"}, F.col("o_custkey") % 2 == 0)
-    return filled.drop("o_custkey")
+    orders = base.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").alias("amount")
+    )
+    actuals = base.table(spark, sf_dir, "customer").filter("c_acctbal > 0").withColumnRenamed("c_custkey", "o_custkey")
+    filled = joins.backfill(orders, actuals, ["o_custkey"], {"amount": "c_acctbal"}, F.col("o_orderstatus") == "F")
+    return filled.drop("o_custkey", "o_orderstatus")
 
 
 @query(

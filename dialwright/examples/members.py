@@ -95,40 +95,43 @@ def room_dimension(spark, sf_dir):
 
 @query(
     "dim_upsert",
-    """SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN c_custkey + 1 ELSE
-         (SELECT max(c_custkey + 1) FROM customer WHERE c_custkey % 2 = 0)
-         + row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey)
+    """SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_acctbal > 2000 THEN c_custkey + 1 ELSE
+         (SELECT max(c_custkey + 1) FROM customer WHERE c_acctbal > 2000)
+         + row_number() OVER (PARTITION BY c_acctbal > 2000 ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey)
          END AS customer_key FROM customer""",
 )
 def dim_upsert(spark, sf_dir):
-    customers = base.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    existing = customers.filter("c_custkey % 2 = 0").withColumn("customer_key", F.col("c_custkey") + 1)
+    customers = base.table(spark, sf_dir, "customer")
+    existing = customers.filter("c_acctbal > 2000").select(
+        "c_custkey", "c_name", "c_mktsegment", (F.col("c_custkey") + 1).alias("customer_key")
+    )
     return dimensions.insert_new(existing, customers, ["c_custkey"], "customer_key")
 
 
 @query(
     "ensure_member",
-    "SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT DISTINCT c_nationkey, 'added' FROM customer WHERE c_nationkey % 2 = 1",
+    """SELECT n_nationkey, n_name FROM nation WHERE n_regionkey < 3 UNION ALL SELECT DISTINCT c_nationkey, 'added'
+       FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)""",
 )
 def ensure_member(spark, sf_dir):
-    nations = base.table(spark, sf_dir, "nation").filter("n_nationkey % 2 = 0").select("n_nationkey", "n_name")
+    nations = base.table(spark, sf_dir, "nation").filter("n_regionkey < 3").select("n_nationkey", "n_name")
     wanted = base.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n_nationkey"), F.lit("added").alias("n_name"))
     return dimensions.ensure_member(nations, wanted.distinct(), ["n_nationkey"])
 
 
 def _parts(spark, sf_dir):
     parts = base.table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
-    old = parts.filter("p_partkey % 2 = 0")
-    changed = F.when(F.col("p_partkey") % 5 == 0, F.lit("REWORKED")).otherwise(F.col("p_type"))
-    new = parts.filter("p_partkey % 3 <> 0").withColumns({"p_type": changed, "p_size": F.col("p_size") + 100})
+    old = parts.filter("p_size > 20")
+    changed = F.when(F.col("p_brand") == "Brand#4", F.lit("REWORKED")).otherwise(F.col("p_type"))
+    new = parts.filter("p_type <> 'ECONOMY'").withColumns({"p_type": changed, "p_size": F.col("p_size") + 100})
     return old, new
 
 
 _BOTH_PARTS = """SELECT coalesce(o.p_partkey, n.p_partkey) AS p_partkey, o.p_partkey AS old_key, n.p_partkey AS new_key,
        o.p_type AS old_type, n.p_type AS new_type, o.p_brand AS old_brand, n.p_brand AS new_brand,
-       o.p_size AS old_size, n.p_size AS new_size FROM (SELECT * FROM part WHERE p_partkey % 2 = 0) o
-       FULL JOIN (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'REWORKED' ELSE p_type END AS p_type, p_brand,
-                         p_size + 100 AS p_size FROM part WHERE p_partkey % 3 <> 0) n ON o.p_partkey = n.p_partkey"""
+       o.p_size AS old_size, n.p_size AS new_size FROM (SELECT * FROM part WHERE p_size > 20) o
+       FULL JOIN (SELECT p_partkey, CASE WHEN p_brand = 'Brand#4' THEN 'REWORKED' ELSE p_type END AS p_type, p_brand,
+                         p_size + 100 AS p_size FROM part WHERE p_type <> 'ECONOMY') n ON o.p_partkey = n.p_partkey"""
 cte("both_parts", _BOTH_PARTS)
 
 
@@ -156,13 +159,13 @@ def merge_by_key(spark, sf_dir):
 cte(
     "segments",
     """SELECT c_custkey, c_mktsegment AS segment, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to
-       FROM customer WHERE c_custkey % 2 = 0
-       UNION ALL SELECT c_custkey, 'OLD', DATE '2023-01-01', DATE '2023-12-31' FROM customer WHERE c_custkey % 4 = 0""",
+       FROM customer WHERE c_acctbal > 2000
+       UNION ALL SELECT c_custkey, 'OLD', DATE '2023-01-01', DATE '2023-12-31' FROM customer WHERE c_acctbal > 5000""",
 )
 cte(
     "new_segments",
-    """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' ELSE c_mktsegment END AS segment,
-       DATE '2024-06-01' AS valid_from FROM customer WHERE c_custkey % 3 <> 0""",
+    """SELECT c_custkey, CASE WHEN c_nationkey < 5 THEN 'MOVED' ELSE c_mktsegment END AS segment,
+       DATE '2024-06-01' AS valid_from FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
 )
 
 
@@ -184,14 +187,14 @@ def scd2_history(spark, sf_dir):
     def day(text):
         return F.lit(text).cast("date")
 
-    current = customers.filter("c_custkey % 2 = 0").select(
+    current = customers.filter("c_acctbal > 2000").select(
         "c_custkey", F.col("c_mktsegment").alias("segment"), day("2024-01-01").alias("valid_from"), day(None).alias("valid_to")
     )
-    past = customers.filter("c_custkey % 4 = 0").select(
+    past = customers.filter("c_acctbal > 5000").select(
         "c_custkey", F.lit("OLD").alias("segment"), day("2023-01-01").alias("valid_from"), day("2023-12-31").alias("valid_to")
     )
-    segment = F.when(F.col("c_custkey") % 5 == 0, F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
-    incoming = customers.filter("c_custkey % 3 <> 0").select(
+    segment = F.when(F.col("c_nationkey") < 5, F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
+    incoming = customers.filter("c_mktsegment <> 'MACHINERY'").select(
         "c_custkey", segment.alias("segment"), day("2024-06-01").alias("valid_from")
     )
     return dimensions.scd2(current.unionByName(past), incoming, ["c_custkey"], ["segment"])
