@@ -16,6 +16,9 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# COMPARE_EXACT=1 demands equal doubles; by default nine digits have to agree.
+EXACT = os.environ.get("COMPARE_EXACT") == "1"
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -32,7 +35,7 @@ def normal(v):
     if isinstance(v, bool):
         return v
     if isinstance(v, (int, float, decimal.Decimal)):
-        return float(f"{float(v):.9g}")
+        return float(v) if EXACT else float(f"{float(v):.9g}")
     if isinstance(v, (datetime.datetime, datetime.date)):
         return str(v)
     return v
