@@ -143,7 +143,7 @@ def unit_names(spark, sf_dir):
 
 @query(
     "priced",
-    "SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity * 0.15 AS DOUBLE) AS cost FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, l_partkey, CAST(round(l_quantity * 0.15, 4) AS DOUBLE) AS cost FROM lineitem",
 )
 def priced(spark, sf_dir):
     return base.table(spark, sf_dir, "lineitem").select(

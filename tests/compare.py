@@ -55,8 +55,7 @@ def differences(spark_df, con, sql) -> str | None:
         return f"columns: spark only {set(spark_df.columns) - set(columns)}, sql only {set(columns) - set(spark_df.columns)}"
     if mine == theirs:
         return None if mine else "both empty"
-    extra = [r for r in mine if r not in set(theirs)][:2]
-    absent = [r for r in theirs if r not in set(mine)][:2]
+    extra, absent = list(set(mine) - set(theirs))[:2], list(set(theirs) - set(mine))[:2]
     return f"{len(mine)} vs {len(theirs)} rows; columns {sorted(columns)}\n  spark only {extra}\n  sql only {absent}"
 
 
