@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import packing, token_counts, token_files
+from dialwright.llm import packing, simhash, token_counts, token_files
 from dialwright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("row_no")
 
 
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=3, shingle_words=3)
+
+
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
