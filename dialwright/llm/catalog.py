@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import packing, simhash, token_counts, token_files
+from dialwright.llm import mixing, packing, simhash, token_counts, token_files, url_filter
 from dialwright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,31 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model, budget=4096)
 
 
+_MIX_SQL = """
+WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+totals AS (SELECT count(*) AS k, sum(n) AS n FROM sizes),
+rates AS (SELECT source, 1.0 / k * totals.n::DOUBLE / sizes.n AS rate FROM sizes, totals),
+terms AS (
+  SELECT source, i, exp(-rate + i * ln(rate) - lgamma(i + 1.0)) AS p
+  FROM rates, generate_series(0, 200) g(i)
+),
+cdf AS (SELECT source, i, sum(p) OVER (PARTITION BY source ORDER BY i) AS c FROM terms),
+draws AS (
+  SELECT *, ('0x' || substr(md5('7:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents
+),
+counted AS (
+  SELECT d.doc_id, count(*) AS n FROM draws d JOIN cdf c ON c.source = d.source AND c.c <= d.u GROUP BY d.doc_id
+)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, j::INT AS copy, md5('8:' || d.doc_id || ':' || j) AS shuffle_key
+FROM documents d JOIN counted USING (doc_id), generate_series(0, n - 1) s(j)
+"""
+
+
+@query("op4_poisson_mixing", _MIX_SQL)
+def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=None, seed=7)
+
+
 @query("op5_sum_of_squares_packing")
 def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(
@@ -42,6 +67,53 @@ def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("row_no")
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+_URL_SQL = r"""
+WITH rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+rested AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+hosted AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM rested),
+parts AS (
+  SELECT page_id, url,
+    translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path,
+    list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))) AS kept
+  FROM hosted
+),
+named AS (
+  SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical
+  FROM parts
+),
+listed AS (SELECT canonical FROM named WHERE canonical <> '' GROUP BY canonical HAVING count(*) > 1),
+fitting AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(r.verdict, length(h || p)) AS ruled
+  FROM named, rules r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+)
+SELECT n.page_id, n.host, n.path, f.rule,
+  coalesce(f.ruled, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM named n LEFT JOIN fitting f USING (page_id) LEFT JOIN listed l ON l.canonical = n.canonical
+"""
+
+
+@query("op6_url_filter", _URL_SQL)
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, URL_RULES, url_filter.repeated_urls(pages))
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=3, shingle_words=3)
