@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import mixing, packing, simhash, token_counts, token_files, url_filter
+from dialwright.llm import mixing, packing, quality, simhash, token_counts, token_files, url_filter
 from dialwright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,13 @@ FROM documents d JOIN counted USING (doc_id), generate_series(0, n - 1) s(j)
 """
 
 
+@query("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    scored = quality.score_documents(table(spark, sf_dir, "documents"), trusted)
+    return scored.drop("text_hash")
+
+
 @query("op4_poisson_mixing", _MIX_SQL)
 def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=None, seed=7)
