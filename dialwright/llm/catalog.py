@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import mixing, packing, quality, simhash, token_counts, token_files, url_filter
+from dialwright.llm import embeddings, mixing, packing, quality, simhash, token_counts, token_files, url_filter
 from dialwright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ FROM documents d JOIN counted USING (doc_id), generate_series(0, n - 1) s(j)
 """
 
 
+@query("op2_sorted_projections")
+def op2_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))

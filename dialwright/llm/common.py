@@ -6,8 +6,11 @@ import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from dialwright.session import shared_dir
@@ -66,3 +69,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.Table]:
+    """The rows of each run of equal values in ``columns``, for input sorted by them.
+
+    Holds one batch and the unfinished run, so the caller bounds its groups.
+    """
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = pa.Table.from_batches([batch])
+        held = new if held is None else pa.concat_tables([held, new])
+        cuts = _cuts(held, columns)
+        start = 0
+        for cut in cuts:
+            yield held.slice(start, cut - start)
+            start = cut
+        held = held.slice(start)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _cuts(rows: pa.Table, columns: tuple[str, ...]) -> list[int]:
+    """Places where a new run starts."""
+    changed = np.zeros(max(rows.num_rows - 1, 0), bool)
+    for column in columns:
+        values = rows.column(column).to_numpy()
+        changed |= values[1:] != values[:-1]
+    return (np.flatnonzero(changed) + 1).tolist()
