@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import embeddings, mixing, packing, quality, simhash, token_counts, token_files, url_filter
+from dialwright.llm import embeddings, mixing, packing, quality, simhash, token_counts, token_files, url_filter, warc
 from dialwright.llm.common import table
+from dialwright.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,3 +136,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), path, end_id=0)
+
+
+@query("op10_merkle_audit")
+def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One record in about 500 of the second replica has a bit turned, to be found.
+    pages = table(spark, sf_dir, "pages")
+    return warc.fixity_audit(pages, shared_dir(spark, "warc"), damage_every=500)
