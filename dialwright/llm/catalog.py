@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import embeddings, mixing, packing, quality, simhash, token_counts, token_files, url_filter, warc
+from dialwright.llm import embeddings, mixing, packing, quality, repeats, simhash, token_counts, token_files, url_filter, warc
 from dialwright.llm.common import table
 from dialwright.session import shared_dir
 
@@ -127,6 +127,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, url_filter.repeated_urls(pages))
 
 
+@query("op7_suffix_arrays")
+def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, sf_dir, "documents"), size=50).drop("spans")
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=3, shingle_words=3)
