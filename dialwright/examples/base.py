@@ -325,9 +325,9 @@ cte(
 
 def site_meta(spark: SparkSession) -> DataFrame:
     rows = [
-        ("North", "Station of the north", False, 46.5, 7.25, 480),
-        ("South", "Station of the south", False, 46.0, 7.75, 660),
-        ("Middle", "Mean of north and south", True, 46.25, 7.5, 530),
+        ("Middle", "Average of the two coast stations", True, 56.4, 10.9, 21),
+        ("South", "Harbour mast", False, 55.7, 12.6, 9),
+        ("North", "Lighthouse mast", False, 57.1, 9.2, 33),
     ]
     return local_frame(
         spark,
@@ -382,7 +382,7 @@ def room_code(number: Column | str) -> Column:
     special = (
         F.when(number == 0, "Foyer")
         .when(number == 1, "SUM")
-        .when(number % 10 == 2, F.concat(F.lit("RS7"), (number % 7).cast("string"), F.lit("-Aula")))
+        .when(number % 10 == 2, F.concat(F.lit("RS1"), (number % 7).cast("string"), F.lit("-Aula")))
         .when(number % 10 == 3, F.concat(base, F.lit("-Comodal")))
         .otherwise(base)
     )
@@ -390,7 +390,7 @@ def room_code(number: Column | str) -> Column:
 
 
 ROOM_CODE_SQL = """'HQ-1.' || CASE WHEN n = 0 THEN 'Foyer' WHEN n = 1 THEN 'SUM'
-       WHEN n % 10 = 2 THEN 'RS7' || (n % 7) || '-Aula'
+       WHEN n % 10 = 2 THEN 'RS1' || (n % 7) || '-Aula'
        ELSE substr('NSEW', n % 4 + 1, 1) || ((n // 4) % 5) || lpad(CAST(n AS VARCHAR), 2, '0')
             || CASE WHEN n % 10 = 3 THEN '-Comodal' ELSE '' END END"""
 

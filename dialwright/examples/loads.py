@@ -23,12 +23,11 @@ def _keyed(df):
     return df.withColumn("date_key", date_key("ts"))
 
 
-@query("watermark", f"SELECT event_type, max({_DAY_KEY}) AS mark FROM events GROUP BY 1")
+@query("watermark", f"SELECT event_type, max({_DAY_KEY}) AS mark, (SELECT max({_DAY_KEY}) FROM events) AS overall FROM events GROUP BY 1")
 def watermark(spark, sf_dir):
     rows = base.table(spark, sf_dir, "events").withColumn("date_key", date_key("ts"))
-    overall = increments.watermark(rows)
     per_type = rows.groupBy("event_type").agg(F.max("date_key").alias("mark"))
-    return per_type.filter(F.col("mark") <= overall)
+    return per_type.withColumn("overall", increments.watermark(rows))
 
 
 @query("after_watermark", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-16'")
@@ -43,7 +42,7 @@ def after_watermark(spark, sf_dir):
 def incremental_append(spark, sf_dir):
     events = _events(spark, sf_dir)
     loaded = _keyed(events).filter("date_key <= 20240115")
-    rows = facts.load_increment(events, "ts", loaded, ["event_id"], _keyed, increments.watermark(loaded))
+    rows = facts.load_increment(events, "ts", loaded, ["event_id"], _keyed)
     return rows.select("event_id", "user_id", "date_key")
 
 
@@ -56,7 +55,7 @@ def late_lookback(spark, sf_dir):
     """Signups of loaded days arrive late; those of the reopened days are found."""
     events = base.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     loaded = _keyed(events).filter("date_key <= 20240115 AND event_type <> 'signup'")
-    rows = facts.load_increment(events, "ts", loaded, ["event_id"], _keyed, increments.watermark(loaded), lookback_days=5)
+    rows = facts.load_increment(events, "ts", loaded, ["event_id"], _keyed, lookback_days=5)
     return rows.select("event_id", "user_id", "date_key")
 
 
@@ -75,6 +74,16 @@ def replace_run(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@query("replace_empty_run", "SELECT event_id, CAST(user_id % 3 AS INTEGER) AS run_key FROM events WHERE user_id % 3 <> 1")
+def replace_empty_run(spark, sf_dir):
+    """Three runs are stored; run 1 is loaded again, yields nothing now and is cleared."""
+    rows = base.table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 3).cast("int").alias("run_key"))
+    path = shared_dir(spark, "replace-run")
+    sinks.replace_partition(rows, path, ["run_key"])
+    sinks.replace_partition(rows.filter("false"), path, ["run_key"], runs=[{"run_key": 1}])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query(
     "staged_overwrite",
     "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'EVEN' ELSE c_mktsegment END AS segment FROM customer",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dialwright.examples import base
+from dialwright.session import local_frame
 from dialwright.examples.registry import query
 from dialwright.functions.keys import date_key, floor_minutes
 from dialwright.operators import access, aggregates, joins
@@ -147,6 +148,23 @@ def price_at(spark, sf_dir):
     return joins.price_at(orders, tariff, "o_orderdate", "price", "valid_from", "valid_to").drop("o_orderdate")
 
 
+@query(
+    "price_by_tariff",
+    """SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 0.2 WHEN CAST(o_orderdate AS DATE) < DATE '1996-07-01' THEN 0.1
+       ELSE 0.15 END AS price FROM orders""",
+)
+def price_by_tariff(spark, sf_dir):
+    """Two named tariffs in force at once: each order finds its own."""
+    rows = [("even", "1990-01-01", None, 0.2), ("odd", "1990-01-01", "1996-06-30", 0.1), ("odd", "1996-07-01", None, 0.15)]
+    tariff = local_frame(spark, rows, "name string, f string, t string, price double").select(
+        "name", F.col("f").cast("date").alias("valid_from"), F.col("t").cast("date").alias("valid_to"), "price"
+    )
+    kind = F.when(F.col("o_custkey") % 2 == 0, "even").otherwise("odd")
+    orders = base.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", kind.alias("kind"))
+    priced = joins.price_at(orders, tariff, "o_orderdate", "price", "valid_from", "valid_to", by={"kind": "name"})
+    return priced.select("o_orderkey", "price")
+
+
 def _grants(spark, sf_dir):
     return base.table(spark, sf_dir, "nation").select(
         F.concat(F.lit("user_"), F.col("n_regionkey").cast("string")).alias("login"),

@@ -158,7 +158,7 @@ def _nearest(measure: str, name: str) -> str:
        CAST(time_key // 15 AS INTEGER) AS quarter_hour_slot, p.delta_kwh AS actual_production_kwh, p.cumulative_kwh,
        round(irradiance_wm2, 6) AS irradiance_wm2, round(forecast_temp_c, 6) AS forecast_temp_c,
        temperature_c AS actual_indoor_temp_c, humidity_pct AS actual_humidity_pct
-       FROM (SELECT *, CAST(unnest(generate_series(0, 1425, 15)) AS INTEGER) AS time_key FROM {{event_days}})
+       FROM (SELECT *, CAST(unnest(generate_series(0, 1439)) AS INTEGER) AS time_key FROM {{event_days}})
        LEFT JOIN {{production}} p USING (date_key, time_key)
        LEFT JOIN {{environment}} e USING (date_key, time_key)
        {_nearest("PRED_GLOB_ctrl", "irradiance_wm2")} {_nearest("PRED_T_2M_ctrl", "forecast_temp_c")}""",

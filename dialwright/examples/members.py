@@ -46,10 +46,10 @@ def status_dimension(spark, sf_dir):
 
 @query(
     "site_dimension",
-    """SELECT * FROM (VALUES ('North', 'Station of the north', false, 46.5, 7.25, 480),
-         ('South', 'Station of the south', false, 46.0, 7.75, 660),
-         ('East', 'Site East: metadata to be completed', false, NULL, NULL, NULL),
-         ('Middle', 'Mean of north and south', true, 46.25, 7.5, 530))
+    """SELECT * FROM (VALUES ('East', 'Site East: metadata to be completed', false, NULL, NULL, NULL),
+         ('Middle', 'Average of the two coast stations', true, 56.4, 10.9, 21),
+         ('North', 'Lighthouse mast', false, 57.1, 9.2, 33),
+         ('South', 'Harbour mast', false, 55.7, 12.6, 9))
          t(site_name, site_description, is_synthetic, latitude, longitude, altitude_m)
        WHERE site_name = 'Middle' OR site_name IN (SELECT "Site" FROM {raw_forecasts})""",
 )

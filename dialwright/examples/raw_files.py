@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from dialwright.examples import base, marts
 from dialwright.examples.registry import query
 from dialwright.functions.keys import floor_minutes
-from dialwright.operators.clean import matching
 from dialwright.plans import silver
 from dialwright.session import shared_dir
 from dialwright.sources import files, readers, sinks
@@ -100,8 +99,13 @@ def read_positional(spark, sf_dir):
 
 @query("read_csv", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def read_csv(spark, sf_dir):
+    """Two deliveries that order their columns differently."""
     path = shared_dir(spark, "csv")
-    base.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(path)
+    customers = base.table(spark, sf_dir, "customer")
+    first = customers.filter("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_acctbal")
+    second = customers.filter("c_custkey % 2 = 1").select("c_acctbal", "c_mktsegment", "c_custkey", "c_name")
+    for rows in (first, second):
+        rows.write.mode("append").option("header", True).csv(path)
     return readers.read_csv(spark, path, "c_custkey bigint, c_name string, c_acctbal double")
 
 
@@ -133,9 +137,12 @@ def masked_bookings(spark, sf_dir):
 def predictions_file(spark, sf_dir):
     """Predictions with negative values, repeated and unreadable timestamps."""
     stamp = F.when(F.col("event_id") % 13 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    rows = base.table(spark, sf_dir, "events").select(stamp.alias("timestamp"), (F.col("value") - 50).alias("predicted"))
+    rows = base.table(spark, sf_dir, "events").select(
+        stamp.alias("timestamp"), (F.col("value") - 50).alias("predicted"), "event_id"
+    )
     path = shared_dir(spark, "predictions")
-    rows.write.option("header", True).csv(path)
+    for part in (rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1").select("predicted", "timestamp")):
+        part.drop("event_id").write.mode("append").option("header", True).csv(path)
     return silver.predictions(readers.read_validated(spark, path, ["timestamp", "predicted"]), "predicted")
 
 
@@ -170,4 +177,20 @@ def route_partitions(spark, sf_dir):
     rows = base.table(spark, sf_dir, "events").select("event_id", file_name.alias("file_name"))
     path = shared_dir(spark, "routes")
     sinks.write_table(files.route_by_filename(rows).drop("file_name"), path, partition_by=["route"])
-    return matching(spark.read.schema("event_id bigint, route string").parquet(path), {"route": "."})
+    return spark.read.schema("event_id bigint, route string").parquet(path)
+
+
+@query(
+    "positional_rejects",
+    "SELECT CAST(event_id AS VARCHAR) || ';' || event_type AS line FROM events WHERE event_id % 7 = 0",
+)
+def positional_rejects(spark, sf_dir):
+    """Lines that lack a cell come back as rejects; the others load."""
+    events = base.table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    line = F.concat_ws(";", number, "event_type", F.when(F.col("event_id") % 7 != 0, F.col("user_id").cast("string")))
+    path = shared_dir(spark, "short-lines")
+    # Written as one cell under a header, so that every file starts with one.
+    lines = events.select(line.alias("n;n;n"))
+    lines.write.option("header", True).option("quote", "").option("sep", "\t").csv(path)
+    return readers.positional_rejects(spark, path, ["a", "b", "c"]).select("line")

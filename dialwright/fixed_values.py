@@ -88,3 +88,6 @@ ORANGE_FROM = 75
 GBT_TREES = 100
 GBT_LEARNING_RATE = 0.1
 GBT_DEPTH = 5
+
+# Name Spark and Hive give the partition of NULL keys.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"

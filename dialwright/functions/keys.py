@@ -32,11 +32,11 @@ def key_to_date(key: Column | str) -> Column:
 
 
 def minutes_of_clock(text: Column | str) -> Column:
-    """``HH:mm`` or ``H:mm`` text to minutes since midnight, NULL if malformed."""
+    """``HH:mm`` or ``H:mm`` text to minutes since midnight, NULL if malformed or not a time of day."""
     text = F.trim(_col(text))
     hour = F.substring_index(text, ":", 1).try_cast("int")
     minute = F.substring_index(F.substring_index(text, ":", 2), ":", -1).try_cast("int")
-    return F.when(text.contains(":"), hour * 60 + minute)
+    return F.when(text.contains(":") & hour.between(0, 23) & minute.between(0, 59), hour * 60 + minute)
 
 
 def floor_minutes(ts: Column | str, minutes: int) -> Column:

@@ -27,21 +27,12 @@ def sum_if(c: Column | str, condition: Column) -> Column:
     return F.sum(F.when(condition, _col(c)))
 
 
-def wape(predicted: Column | str, actual: Column | str, type_: str = "decimal(10,6)") -> Column:
+def wape(predicted: Column | str, actual: Column | str, type_: str = "decimal(28,6)") -> Column:
     """Weighted absolute percentage error: sum of misses over sum of actuals."""
     miss = F.sum(F.abs(_col(predicted) - _col(actual)))
     return F.try_divide(miss, F.sum(_col(actual))).cast(type_)
 
 
-def performance_ratio(power_w: Column | str, rated_kwp: Column | str, type_: str = "decimal(10,6)") -> Column:
-    """Aggregate: produced power over what the rated power allows.
-
-    ``rated_kwp`` must be constant inside the group.
-    """
-    possible = F.max(_col(rated_kwp)).cast("double") * 1000.0 * F.count(F.lit(1))
-    return F.try_divide(F.sum(F.coalesce(_col(power_w), F.lit(0.0))), possible).cast(type_)
-
-
 def any_flag(c: Column | str) -> Column:
     """Aggregate: 1 when the flag is set on any row, else 0."""
     return F.max(_col(c).cast("int"))

@@ -240,8 +240,10 @@ def scd2(
 
     A key without an open line is inserted.  If a watched value differs, the
     open line is closed the day before the new one starts and the new line is
-    added.  Equal values change nothing.  ``src`` has one row per key with
-    ``valid_from``.
+    added; a change on the day the open line starts replaces that line.  A
+    change dated before the open line would overlap what is known: it is left
+    out here and returned by :func:`scd2_rejects`.  Equal values change
+    nothing.  ``src`` has one row per key with ``valid_from``.
 
     Everything derives from one full join of the open lines with the source;
     each joined row yields its one or two result lines by a narrow ``inline``.
@@ -250,7 +252,9 @@ def scd2(
     history, current = dim.filter(~is_open), dim.filter(is_open)
     both = _beside(current, src, natural_key)
     has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
-    changed = has_old & has_new & _changed(watch)
+    starts, old_start = F.col(f"__new_{valid_from}").cast("date"), F.col(valid_from).cast("date")
+    changed = has_old & has_new & _changed(watch) & (starts >= old_start)
+    replaced = changed & (starts == old_start)
 
     def line(new: bool) -> Column:
         fields = []
@@ -268,12 +272,27 @@ def scd2(
             fields.append(value.cast(type_).alias(c))
         return F.struct(*fields)
 
-    keep_old = F.when(has_old, line(new=False))
+    keep_old = F.when(has_old & ~F.coalesce(replaced, F.lit(False)), line(new=False))
     add_new = F.when(~has_old | changed, line(new=True))
     lines = F.filter(F.array(keep_old, add_new), lambda x: x.isNotNull())
     return history.unionByName(both.select(F.inline(lines)))
 
 
+def scd2_rejects(
+    dim: DataFrame,
+    src: DataFrame,
+    natural_key: list[str],
+    watch: list[str],
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+) -> DataFrame:
+    """Rows of ``src`` that :func:`scd2` leaves out: changes dated before the open line of their key."""
+    current = dim.filter(F.col(valid_to).isNull()).select(*natural_key, *[F.col(c).alias(f"__old_{c}") for c in {*watch, valid_from}])
+    differs = reduce(or_, (~F.col(c).eqNullSafe(F.col(f"__old_{c}")) for c in watch))
+    early = F.col(valid_from).cast("date") < F.col(f"__old_{valid_from}").cast("date")
+    return src.join(current, natural_key).filter(differs & early).select(*src.columns)
+
+
 def dim_date(
     days: DataFrame,
     day: str = "day",

@@ -8,6 +8,9 @@ splits skewed partitions of the fact side.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,25 +117,37 @@ def price_at(
     price: str,
     valid_from: str,
     valid_to: str,
+    by: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add the price in force on ``day``.
 
+    ``by`` pairs fact columns with the tariff columns that name a tariff (fact
+    column -> tariff column); without it the table has to hold one tariff.
     Validity ranges are spread to the days the facts span, which turns the
     range condition into an equi join on the day.  The spread side has one row
     per calendar day and tariff line, whatever the size of the fact.  A NULL
-    ``valid_to`` is open.  Lines that overlap would multiply facts; the tariff
-    table built by ``scd2`` has none.
+    ``valid_to`` is open.  Lines of one tariff that overlap would multiply
+    facts, so a day with two prices stops the job.
     """
-    span = fact.agg(F.min(day).cast("date").alias("lo"), F.max(day).cast("date").alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    first = F.greatest(F.col(valid_from), lo)
-    last = F.least(F.coalesce(F.col(valid_to), hi), hi)
-    per_day = (
-        tariff.select(first.alias("__first"), last.alias("__last"), price)
-        .filter(F.col("__first") <= F.col("__last"))
-        .select(F.explode(F.sequence("__first", "__last", F.expr("interval 1 day"))).alias("__day"), price)
+    by = by or {}
+    span = fact.agg(F.struct(F.min(day).cast("date").alias("lo"), F.max(day).cast("date").alias("hi")).alias("s")).scalar()
+    names = [F.col(t).alias(f"__by_{f}") for f, t in by.items()]
+    bounded = tariff.select(*names, valid_from, valid_to, price, span.alias("__span")).select(
+        *[f"__by_{f}" for f in by],
+        F.greatest(F.col(valid_from), F.col("__span.lo")).alias("__first"),
+        F.least(F.coalesce(F.col(valid_to), F.col("__span.hi")), F.col("__span.hi")).alias("__last"),
+        price,
+    )
+    spread = bounded.filter(F.col("__first") <= F.col("__last")).withColumn(
+        "__day", F.explode(F.sequence("__first", "__last", F.expr("interval 1 day")))
+    )
+    overlap = F.raise_error(F.concat(F.lit("two prices in force on "), F.first("__day").cast("string")))
+    per_day = spread.groupBy(*[f"__by_{f}" for f in by], "__day").agg(
+        F.when(F.count(F.lit(1)) > 1, overlap.cast(tariff.schema[price].dataType)).otherwise(F.first(price)).alias(price)
     )
-    return fact.join(per_day, fact[day].cast("date") == per_day["__day"], "left").drop("__day")
+    same = [F.col(f) == F.col(f"__by_{f}") for f in by]
+    matching = reduce(and_, same, F.col(day).cast("date") == F.col("__day"))
+    return fact.join(per_day, matching, "left").drop("__day", *[f"__by_{f}" for f in by])
 
 
 def backfill(

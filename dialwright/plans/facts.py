@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialwright import fixed_values as fv
-from dialwright.functions.keys import date_key, minutes_of_clock, time_key
+from dialwright.functions.keys import date_key, key_to_date, minutes_of_clock, time_key
 from dialwright.functions.measures import priced, recurring, zero_as_null
 from dialwright.functions.text import computed_once, month_text_date
 from dialwright.operators import clean, joins
@@ -203,12 +203,14 @@ def backfill_actuals(
 
 
 def load_increment(
-    silver: DataFrame, ts: str, loaded: DataFrame, business_key: list[str], build, mark: Column | int, lookback_days: int = 0
+    silver: DataFrame, ts: str, loaded: DataFrame, business_key: list[str], build, lookback_days: int = 0
 ) -> DataFrame:
     """Rows to append to a fact: after the watermark, built, and not yet loaded.
 
     ``build`` turns silver rows into fact rows.  With ``lookback_days`` late
     rows of loaded days are found as well; the key check keeps it idempotent.
     """
-    fresh = build(after_watermark(silver, ts, mark, lookback_days))
-    return incremental_append(fresh, loaded, business_key)
+    fresh = build(after_watermark(silver, ts, loaded, lookback_days))
+    reopened = F.date_add(key_to_date(F.coalesce(F.max("date_key"), F.lit(0))), 1 - lookback_days)
+    oldest = loaded.agg(F.coalesce(date_key(reopened), F.lit(0)).alias("oldest")).scalar()
+    return incremental_append(fresh, loaded, business_key, oldest=oldest)

@@ -8,9 +8,8 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +28,25 @@ def time_split(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(ts) < edge), df.filter(F.col(ts) >= edge)
 
 
-def _pipeline(features: list[str], regressor) -> Pipeline:
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, regressor])
+def _means(rows: DataFrame, features: list[str]) -> dict[str, float]:
+    """Mean of each feature in the training rows; 0 where it never has a value."""
+    present = [F.avg(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double"))).alias(f) for f in features]
+    found = rows.agg(*present).first().asDict()
+    return {f: found[f] if found[f] is not None else 0.0 for f in features}
+
+
+def _pipeline(features: list[str], regressor, means: dict[str, float]) -> Pipeline:
+    """Feature vector and regressor; a missing feature takes its training mean, so every row is kept."""
+    filled = ", ".join(
+        f"coalesce(nanvl(cast(`{f}` as double), cast(null as double)), {means[f]!r}D) AS `__{f}`" for f in features
+    )
+    filling = SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"__{f}" for f in features], outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[filling, assembler, regressor])
+
+
+def _labelled(df: DataFrame, target: str) -> DataFrame:
+    return df.filter(F.col(target).isNotNull())
 
 
 @contextmanager
@@ -54,14 +69,14 @@ def boosted_trees(
 
 
 def train_gbt(df: DataFrame, features: list[str], target: str, **settings: object) -> PipelineModel:
-    """Fit boosted trees on a feature table."""
-    with _kept(df) as rows:
-        return _pipeline(features, boosted_trees(target, **settings)).fit(rows)
+    """Fit boosted trees on the rows of a feature table whose target is known."""
+    with _kept(_labelled(df, target)) as rows:
+        return _pipeline(features, boosted_trees(target, **settings), _means(rows, features)).fit(rows)
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
-    """Score rows; energy is never negative."""
-    scored = model.transform(df).withColumnRenamed("prediction", out).drop("features")
+    """Score every row, missing features or not; energy is never negative."""
+    scored = model.transform(df).withColumnRenamed("prediction", out).select(*df.columns, out)
     return clean.clamp_min(scored, out)
 
 
@@ -76,28 +91,38 @@ def candidates(target: str, trees: int = fv.GBT_TREES) -> dict[str, object]:
     }
 
 
+def _fold_edges(rows: DataFrame, ts: str, folds: int) -> list[object]:
+    """``folds + 2`` instants that cut the rows' time span into equal shares of rows, ends included."""
+    seconds = F.unix_micros(F.col(ts).cast("timestamp"))
+    cuts = rows.agg(F.percentile_approx(seconds, [i / (folds + 1) for i in range(folds + 2)])).first()[0]
+    return cuts or []
+
+
 def select_model(
-    df: DataFrame, features: list[str], target: str, folds: int = 3, trees: int = fv.GBT_TREES
+    df: DataFrame, features: list[str], target: str, folds: int = 3, trees: int = fv.GBT_TREES, ts: str = "ts"
 ) -> tuple[DataFrame, object]:
-    """Cross-validate every candidate; the lowest RMSE wins.
+    """Validate every candidate forward in time; the lowest mean RMSE wins.
 
-    Returns the scores (one row per algorithm) and the winner fitted on all
-    rows.
+    The time span is cut into ``folds + 1`` parts of about equal row counts.
+    Fold i trains on the first i parts and is judged on the next one, so no
+    model sees the future of what it is judged on.  Returns the scores (one row
+    per algorithm) and the winner fitted on all rows.
     """
     evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
-    scores, fitted = [], {}
-    with _kept(df) as rows:
-        for name, regressor in candidates(target, trees).items():
-            validator = CrossValidator(
-                estimator=_pipeline(features, regressor),
-                estimatorParamMaps=ParamGridBuilder().build(),
-                evaluator=evaluator,
-                numFolds=folds,
-                seed=_SEED,
-            )
-            result = validator.fit(rows)
-            scores.append((name, float(result.avgMetrics[0])))
-            fitted[name] = result.bestModel
-    best = min(scores, key=lambda s: s[1])[0]
-    report = [(name, rmse, name == best) for name, rmse in scores]
-    return local_frame(df.sparkSession, report, "algorithm string, rmse double, is_best boolean"), fitted[best]
+    with _kept(_labelled(df, target)) as rows:
+        edges = _fold_edges(rows, ts, folds)
+        at = F.unix_micros(F.col(ts).cast("timestamp"))
+        means = _means(rows, features)
+        errors: dict[str, list[float]] = {name: [] for name in candidates(target, trees)}
+        for cut, end in zip(edges[1:-1], edges[2:], strict=True):
+            past = rows.filter(at < cut)
+            ahead = rows.filter((at >= cut) & ((at < end) if end != edges[-1] else (at <= end)))
+            known = _means(past, features)
+            for name, regressor in candidates(target, trees).items():
+                scored = _pipeline(features, regressor, known).fit(past).transform(ahead)
+                errors[name].append(evaluator.evaluate(scored))
+        scores = {name: sum(e) / len(e) for name, e in errors.items()}
+        best = min(scores, key=scores.get)
+        winner = _pipeline(features, candidates(target, trees)[best], means).fit(rows)
+    report = [(name, float(rmse), name == best) for name, rmse in scores.items()]
+    return local_frame(df.sparkSession, report, "algorithm string, rmse double, is_best boolean"), winner

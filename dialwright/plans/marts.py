@@ -44,7 +44,7 @@ def unit_performance(device: DataFrame, days: DataFrame, units: DataFrame) -> Da
         daily, [(days, "date_key", ["full_date"]), (units, "unit_key", ["unit_id", "rated_kwp"])]
     )
     possible = F.col("rated_kwp").cast("double") * 1000.0 * F.col("__n")
-    ratio = measures.safe_div("__power", possible).cast("decimal(10,6)")
+    ratio = measures.safe_div("__power", possible).cast("decimal(28,6)")
     return described.select("unit_id", "full_date", ratio.alias("performance_ratio"), "had_failure")
 
 
@@ -179,9 +179,11 @@ def weather_vs_production(
     irradiance_key: Column,
     temperature_key: Column,
     horizon: int | None = None,
-    step_minutes: int = 15,
+    step_minutes: int = 1,
 ) -> DataFrame:
-    """Production beside forecast irradiance and temperature for every day and slot.
+    """Production beside forecast irradiance and temperature for every day and minute.
+
+    A coarser ``step_minutes`` shows the readings at those minutes only.
 
     The three keys are usually ``joins.scalar_lookup`` results.  With
     ``horizon=None`` the shortest horizon that has a value is used: some

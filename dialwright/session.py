@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,12 +36,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``.  Only a
-    local-mode session, where driver and executors are one machine, may fall
-    back to a temporary folder.
+    session in one process, where driver and executors are the same machine,
+    may go without; it then uses a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set; name a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="dialwright-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

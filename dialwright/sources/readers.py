@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from dialwright.functions.text import strip_noise
+from dialwright.operators import joins
+
+
+_BAD_LINE = "__bad_line"
 
 
 def text_schema(names: list[str]) -> T.StructType:
@@ -23,17 +27,34 @@ def repeated_group_names(leading: list[str], measures: list[str], units: int) ->
 def read_positional_csv(spark: SparkSession, path: str, names: list[str], sep: str = ";") -> DataFrame:
     """Headered CSV whose header repeats names: the header is skipped, names go by position.
 
-    A line wider or narrower than expected is dropped into no column silently
-    by Spark's permissive mode, so it fails the read instead.
+    Lines wider or narrower than ``names`` are left out; :func:`positional_rejects` returns them.
     """
-    return (
-        spark.read.schema(text_schema(names))
+    return _positional(spark, path, names, sep).filter(F.col(_BAD_LINE).isNull()).drop(_BAD_LINE)
+
+
+def positional_rejects(spark: SparkSession, path: str, names: list[str], sep: str = ";") -> DataFrame:
+    """The lines :func:`read_positional_csv` leaves out, as ``line`` with their ``file``."""
+    bad = _positional(spark, path, names, sep).filter(F.col(_BAD_LINE).isNotNull())
+    return bad.select(F.col(_BAD_LINE).alias("line"), F.col("_metadata.file_name").alias("file"))
+
+
+def _positional(spark: SparkSession, path: str, names: list[str], sep: str) -> DataFrame:
+    """All lines; one of another width has its text in ``_BAD_LINE``.
+
+    Column pruning is off for this read: a line's width shows only when all of
+    its cells are parsed.
+    """
+    lines = (
+        spark.read.schema(text_schema([*names, _BAD_LINE]))
         .option("header", True)
         .option("enforceSchema", True)
-        .option("mode", "FAILFAST")
+        .option("columnNameOfCorruptRecord", _BAD_LINE)
+        .option("columnPruning", False)
         .option("sep", sep)
         .csv(path)
     )
+    # Spark refuses to read the bad lines' column alone; this condition always holds and names another one.
+    return lines.filter(F.substring(F.coalesce(F.col(names[0]), F.lit("")), 1, 0) == "")
 
 
 def read_sensor_csv(
@@ -58,8 +79,43 @@ def read_sensor_csv(
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",") -> DataFrame:
-    """Headered CSV with a given schema; cells that do not convert become NULL."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
+    """Headered CSV with a given schema; columns are found by name, cells that do not convert become NULL.
+
+    Files may order their columns differently and have further ones; one that
+    lacks a column stops the read.
+    """
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    frames = []
+    for names, files in _files_by_header(spark, path, sep).items():
+        missing = [n for n in struct.names if n not in names]
+        if missing:
+            raise ValueError(f"{files[0]}: missing columns {missing}; found {sorted(names)}")
+        types = {f.name: f.dataType for f in struct.fields}
+        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        frames.append(spark.read.schema(own).option("header", True).option("sep", sep).csv(files).select(*struct.names))
+    return joins.union_kinds(frames) if frames else spark.createDataFrame([], struct)
+
+
+def _files_by_header(spark: SparkSession, path: str, sep: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by their header cells; only first lines are fetched.
+
+    Runs where Spark lists the files anyway and keeps one entry per distinct header.
+    """
+    found: dict[tuple[str, ...], list[str]] = {}
+    java = spark._jvm.java.io
+    settings = spark._jsc.hadoopConfiguration()
+    for name in sorted(spark.read.text(path).inputFiles()):
+        # Spark reports files as URIs; one with spaces arrives escaped.
+        where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        reader = java.BufferedReader(java.InputStreamReader(where.getFileSystem(settings).open(where), "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line is not None:
+            cells = tuple(cell.replace('"', "").strip("\ufeff\r ") for cell in line.split(sep))
+            found.setdefault(cells, []).append(where.toString())
+    return found
 
 
 def _header(spark: SparkSession, path: str, sep: str, quote: str) -> list[str]:
@@ -143,7 +199,14 @@ def require_columns(df: DataFrame, required: list[str], what: str) -> DataFrame:
 
 
 def read_validated(spark: SparkSession, path: str, required: list[str], sep: str = ",") -> DataFrame:
-    """Headered CSV of text columns that must contain ``required``."""
-    names = _header(spark, path, sep, '"')
-    df = spark.read.schema(text_schema(names)).option("header", True).option("sep", sep).csv(path)
-    return require_columns(df, required, path)
+    """Headered CSV of text columns that must contain ``required``, in every file and in any order.
+
+    Columns that only some files have are NULL for the others.
+    """
+    frames = []
+    for names, files in _files_by_header(spark, path, sep).items():
+        df = spark.read.schema(text_schema(list(names))).option("header", True).option("sep", sep).csv(files)
+        frames.append(require_columns(df, required, files[0]))
+    if not frames:
+        raise ValueError(f"no header line in {path}")
+    return joins.union_kinds(frames)

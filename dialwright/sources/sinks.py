@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dialwright import fixed_values as fv
 from dialwright.operators.dimensions import merge_by_key
 from dialwright.sources.readers import is_missing
 from pyspark.errors import AnalysisException
@@ -40,11 +44,12 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     write_table(df, path, "append", partition_by)
 
 
-def replace_partition(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``; others stay.
+def replace_partition(df: DataFrame, path: str, keys: list[str], runs: list[dict[str, object]] | None = None) -> None:
+    """Replace exactly the partitions that occur in ``df`` or are named in ``runs``; others stay.
 
     Re-running a load therefore replaces its own rows instead of adding to
-    them.
+    them.  A run that now yields nothing is only known by its name: ``runs``
+    lists the key values being loaded, and those without rows are cleared.
     """
     (
         _balanced(df, keys)
@@ -53,6 +58,22 @@ def replace_partition(df: DataFrame, path: str, keys: list[str]) -> None:
         .partitionBy(*keys)
         .parquet(path)
     )
+    if runs:
+        named = [reduce(and_, (F.col(k).eqNullSafe(F.lit(run[k])) for k in keys)) for run in runs]
+        # One flag per named run, so what comes back is bounded by ``runs``.
+        filled = df.agg(*(F.max(condition).alias(f"r{i}") for i, condition in enumerate(named))).first()
+        for i, run in enumerate(runs):
+            if not filled[f"r{i}"]:
+                folder, fs = _path(df.sparkSession, f"{path.rstrip('/')}/{_partition_folder(run, keys)}")
+                fs.delete(folder, True)
+
+
+def _partition_folder(run: dict[str, object], keys: list[str]) -> str:
+    """The folder Spark gives a partition: ``key=value`` with special characters escaped."""
+    special = '"#%\'*/:=?\\{[]^'
+    escape = lambda text: "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in text)
+    values = [fv.NULL_PARTITION if run[k] is None else escape(str(run[k])) for k in keys]
+    return "/".join(f"{escape(k)}={v}" for k, v in zip(keys, values, strict=True))
 
 
 def _swap_in(spark: SparkSession, base: str, staging: str, mark: str) -> None:

@@ -10,6 +10,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -65,7 +66,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     names = sys.argv[2:] or list(entry.queries())
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(sf_dir)
     failed = 0

@@ -77,23 +77,34 @@ def test_wide_device_log_with_repeated_headers(spark, tmp_path):
     }
 
 
-def test_positional_reader_rejects_lines_of_another_width(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("a;a;a\n1;2;3\n1;2\n")
-    with pytest.raises(Exception, match="(?i)malformed"):
-        readers.read_positional_csv(spark, str(tmp_path), ["x", "y", "z"]).collect()
+def test_positional_reader_keeps_lines_of_another_width_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a;a;a\n1;2;3\n1;2\n4;5;6;7\n")
+    names = ["x", "y", "z"]
+    assert values(readers.read_positional_csv(spark, str(tmp_path), names), *names) == [("1", "2", "3")]
+    assert values(readers.positional_rejects(spark, str(tmp_path), names), "line", "file") == [("1;2", "a.csv"), ("4;5;6;7", "a.csv")]
+    assert readers.read_positional_csv(spark, str(tmp_path), names).select("x").count() == 1
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "c.csv").write_text("y,z,x\n4,9,3\n")
+    assert values(readers.read_csv(spark, str(tmp_path), "x int, y int"), "x", "y") == [(1, 2), (3, 4)]
+    assert values(readers.read_validated(spark, str(tmp_path), ["x", "y"]), "x", "y", "z") == [("1", "2", None), ("3", "4", "9")]
+    with pytest.raises(ValueError, match=r"missing columns \['z'\]"):
+        readers.read_csv(spark, str(tmp_path), "x int, z int")
 
 
 def test_booking_headers_and_masking(spark, tmp_path):
     header = '"Nom"\t"Date"\t"x"\t"Date de début"\t"Date de fin"' + "\t" + "\t".join(f"c{i}" for i in range(5, 11))
     header += '\t"Date de début"\t"Date de fin"\t"Professeur"'
-    row = '"VS-1.N301"\t8 janv. 2023\t-\t08:00\t09:00\t' + "\t".join("-" for _ in range(6)) + "\t\t\tJane"
-    other = row.replace("VS-1", "VS-2")
+    row = '"AK-4.E215"\t8 janv. 2023\t-\t08:00\t09:00\t' + "\t".join("-" for _ in range(6)) + "\t\t\tJane"
+    other = row.replace("AK-4", "AK-5")
     (tmp_path / "b.csv").write_text("\n".join([header, row, row, other]) + "\n", encoding="utf-8")
     raw = silver.read_bookings(spark, str(tmp_path))
     for position, name in fv.BOOKING_REPEATED_HEADERS.items():
         assert raw.columns[position] == name
-    rows = silver.masked_bookings(raw, "Nom", "VS-1", {"Professeur": "professor_masked"}).collect()
-    assert len(rows) == 1 and rows[0]["Nom"] == "VS-1.N301" and "Professeur" not in rows[0].asDict()
+    rows = silver.masked_bookings(raw, "Nom", "AK-4", {"Professeur": "professor_masked"}).collect()
+    assert len(rows) == 1 and rows[0]["Nom"] == "AK-4.E215" and "Professeur" not in rows[0].asDict()
     assert len(rows[0]["professor_masked"]) == 64
 
 
@@ -126,21 +137,21 @@ def test_french_months(spark):
 
 
 def test_clock_text(spark):
-    rows = local_frame(spark, [("08:30",), ("9:05",), ("x",), ("12",), (None,)], "c string")
-    assert [r[0] for r in rows.select(keys.minutes_of_clock("c")).collect()] == [510, 545, None, None, None]
+    rows = local_frame(spark, [("08:30",), ("9:05",), ("x",), ("12",), (None,), ("25:99",), ("-1:30",), ("24:00",)], "c string")
+    assert [r[0] for r in rows.select(keys.minutes_of_clock("c")).collect()] == [510, 545] + [None] * 6
 
 
 def test_room_codes(spark):
-    codes = ["HQ.N301", "HQ.N401-Comodal", "HQ.RS70-Aula", "HQ.Foyer", "HQ.SUM", "HQ.S005", "HQ.Terrace"]
-    rows = local_frame(spark, [(c,) for c in codes], "c string").select(text.room_parts("c", "HQ.").alias("p")).select("p.*")
+    codes = ["B2.Garden", "B2.W214", "B2.SUM", "B2.E107-Comodal", "B2.N033", "B2.RS12-Aula", "B2.Foyer"]
+    rows = local_frame(spark, [(c,) for c in codes], "c string").select(text.room_parts("c", "B2.").alias("p")).select("p.*")
     assert [tuple(r) for r in rows.collect()] == [
-        ("N", 3, "01", "Classroom"),
-        ("N", 4, "01", "Comodal"),
+        (None, None, None, "Classroom"),
+        ("W", 2, "14", "Classroom"),
+        (None, None, None, "Seminar"),
+        ("E", 1, "07", "Comodal"),
+        ("N", 0, "33", "Classroom"),
         (None, None, None, "Auditorium"),
         (None, None, None, "Foyer"),
-        (None, None, None, "Seminar"),
-        ("S", 0, "05", "Classroom"),
-        (None, None, None, "Classroom"),
     ]
 
 

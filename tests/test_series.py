@@ -99,6 +99,10 @@ def test_no_raw_row_passes_a_single_task(skewed):
 def test_watermark_range_reaches_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert "GreaterThanOrEqual(ts,2024-01-16T00:00)" in plan(increments.after_watermark(events, "ts", 20240115))
+    loaded = events.select(F.lit(20240115).alias("date_key"))
+    late = increments.after_watermark(events, "ts", loaded)
+    late.collect()
+    assert "GreaterThanOrEqual(ts,ScalarSubquery" in plan(late) or "ts" in plan(late)
 
 
 def test_group_limit_on_both_sides_of_the_shuffle(skewed):

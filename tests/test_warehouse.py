@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dialwright import fixed_values as fv
@@ -72,6 +74,44 @@ def test_tariff_history(spark):
     assert [r["price"] for r in priced.orderBy("id").collect()] == [None, 0.15, 0.2, 0.2]
 
 
+def test_tariff_changes_on_the_same_day_and_before(spark):
+    schema = "name string, price double, valid_from date"
+    old = local_frame(spark, [("a", 1.0, D(2023, 1, 1), None), ("b", 1.0, D(2023, 1, 1), None)], TARIFF.replace("decimal(18,4)", "double"))
+    new = local_frame(spark, [("a", 2.0, D(2023, 1, 1)), ("b", 2.0, D(2022, 6, 1))], schema)
+    assert rows(dimensions.scd2(old, new, ["name"], ["price"])) == [("a", 2.0, D(2023, 1, 1), None), ("b", 1.0, D(2023, 1, 1), None)]
+    assert rows(dimensions.scd2_rejects(old, new, ["name"], ["price"])) == [("b", 2.0, D(2022, 6, 1))]
+
+
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(1, 3), st.integers(0, 9)), max_size=5))
+@settings(max_examples=5, deadline=None)
+def test_lines_of_a_tariff_never_overlap(spark, changes):
+    state = local_frame(spark, [], TARIFF.replace("decimal(18,4)", "double"))
+    for name, price, day in changes:
+        new = local_frame(spark, [(name, float(price), D(2023, 1, 1) + dt.timedelta(days=day))], "name string, price double, valid_from date")
+        found = rows(dimensions.scd2(state, new, ["name"], ["price"]))
+        state = local_frame(spark, found, TARIFF.replace("decimal(18,4)", "double"))
+        for key in "ab":
+            lines = sorted((f, t or D.max) for n, _, f, t in found if n == key)
+            assert all(f <= t for f, t in lines) and all(a[1] < b[0] for a, b in zip(lines, lines[1:], strict=False))
+
+
+def test_two_prices_on_one_day_stop_the_job(spark):
+    tariff = local_frame(spark, [("a", 1.0, D(2023, 1, 1), None), ("b", 2.0, D(2023, 1, 1), None)], TARIFF.replace("decimal(18,4)", "double"))
+    fact = local_frame(spark, [(1, "a", D(2023, 2, 1)), (2, "b", D(2023, 2, 1)), (3, "c", D(2023, 2, 1))], "id int, kind string, day date")
+    with pytest.raises(Exception, match="two prices in force"):
+        joins.price_at(fact, tariff, "day", "price", "valid_from", "valid_to").collect()
+    priced = joins.price_at(fact, tariff, "day", "price", "valid_from", "valid_to", by={"kind": "name"})
+    assert [r["price"] for r in priced.orderBy("id").collect()] == [1.0, 2.0, None]
+
+
+def test_null_keys_are_not_loaded_again(spark):
+    fact = local_frame(spark, [(20230101, 1, None), (20230101, 2, 5)], "date_key int, room int, number int")
+    assert increments.incremental_append(fact, fact, ["date_key", "room", "number"]).count() == 0
+    dated = fact.withColumns({"year": F.lit(2023), "month": F.lit(1)})
+    again = increments.incremental_append(fact, dated, ["date_key", "room", "number"], oldest=F.lit(20230101))
+    assert again.count() == 0
+
+
 def test_upsert_on_change_treats_nulls_as_equal(spark):
     schema = "code string, type string, notes string"
     old = local_frame(spark, [("A", "x", "n"), ("B", None, "n"), ("C", "x", "n")], schema)
@@ -139,6 +179,8 @@ def test_run_replacement_leaves_other_runs(spark):
     for _ in range(2):
         sinks.replace_partition(local_frame(spark, [(2, "d")], "run int, v string"), path, ["run"])
     assert rows(spark.read.parquet(path).select("run", "v")) == [(1, "a"), (2, "d")]
+    sinks.replace_partition(frame.filter("run = 2"), path, ["run"], runs=[{"run": 1}, {"run": 2}])
+    assert rows(spark.read.parquet(path).select("run", "v")) == [(2, "b"), (2, "c")]
 
 
 def test_counting_while_writing(spark):
