@@ -1,41 +1,154 @@
-"""Whole texts to token ids with a byte-level BPE of the tokenizers library."""
+"""Whole texts to token ids with a byte-level BPE of the tokenizers library.
+
+The library spends most of its time on taking texts apart, and most words of a
+corpus come again and again.  So ids are remembered per word with the space
+before it, and only new words go to the library, a lot at a time.  Texts are cut
+only where the library's pre-tokenizer always cuts: before a single space and
+around a single newline.  A text with any other white space, or one that holds
+an added token's string, goes to the library whole.
+"""
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 
-_TOKENIZERS: dict = {}
+_ENCODERS: dict[str, WordEncoder] = {}
+# White space other than single spaces and newlines between words.
+_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+
 
+class WordEncoder:
+    """Ids of texts, equal to ``encode(text, add_special_tokens=False).ids`` of the library.
+
+    ``kept_words`` bounds what a worker remembers; a full memory starts afresh,
+    so the bound changes time, not results.
+    """
 
-def tokenizer(path: str):
-    """This worker's tokenizer; Spark's tasks are the parallelism, so it uses one thread."""
-    if path not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path: str, kept_words: int = 400_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-    return _TOKENIZERS[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kept_words = kept_words
+        self.model = self.tokenizer.model
+        self.written: dict[str, str] = {}  # how the model's alphabet writes a character
+        self.cuts = self._cuts_hold()
+        self._forget()
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cuts_hold(self) -> bool:
+        """Whether this tokenizer takes words with their leading space and newlines one by one."""
+        words = ["ab", " cd", "\n", "Ef", " it's", " x1,", "\n", "éè", " --", " Straße."]
+        whole = self._library(["".join(words)])[0]
+        return whole == sum(self._library(words), []) and whole == sum(self._word_ids(words), [])
+
+    def _letters(self, word: str) -> list[int]:
+        """Ids of a run of letters, with or without a space before it: one unit for the pre-tokenizer."""
+        written = self.written
+        for char in word:
+            if char not in written:
+                written[char] = "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(char))
+        return [token.id for token in self.model.tokenize("".join([written[char] for char in word]))]
+
+    def _word_ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of words; those of letters, or letters and one closing mark, go straight to the library's model."""
+        found: list[list[int] | None] = []
+        for word in words:
+            if word.lstrip(" ").isalpha():
+                found.append(self._letters(word))
+            elif word[-1:] in (".", ",") and word[:-1].lstrip(" ").isalpha():
+                found.append(self._letters(word[:-1]) + self._letters(word[-1]))
+            else:
+                found.append(None)
+        others = iter(self._library([w for w, ids in zip(words, found, strict=True) if ids is None]))
+        return [next(others) if ids is None else ids for ids in found]
+
+    def _forget(self) -> None:
+        newline = self._library(["\n"])[0]
+        self.place: dict[str, int] = {"": 0}  # between two lines stands an empty part: the newline
+        self.flat = np.array(newline, np.uint32)
+        self.used = len(newline)
+        self.start = np.zeros(1 << 16, np.int64)
+        self.length = np.zeros(1 << 16, np.int64)
+        self.length[0] = len(newline)
+
+    def _learn(self, words: list[str]) -> None:
+        found = self._word_ids(words)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        have, need = len(self.place), self.used + int(lengths.sum())
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(need, np.uint32)])
+        self.flat[self.used : need] = [i for ids in found for i in ids]
+        if have + len(words) > len(self.start):
+            more = np.zeros(have + len(words), np.int64)
+            self.start, self.length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
+        self.start[have : have + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.length[have : have + len(words)] = lengths
+        self.used = need
+        self.place.update(zip(words, range(have, have + len(words)), strict=True))
+
+    def _by_words(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.place) > self.kept_words:
+            self._forget()
+        parts: list[str] = []
+        counts = []
+        for text in texts:
+            # A doubled newline leaves the empty part that stands for it.
+            own = text.replace("\n", "\n\n").replace(" ", "\n ").split("\n")
+            parts += own
+            counts.append(len(own))
+        at = np.fromiter(map(self.place.get, parts, repeat(-1)), np.int64, len(parts))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys([parts[i] for i in unknown])))
+            at[unknown] = [self.place[parts[i]] for i in unknown]
+        length = self.length[at]
+        ends = np.cumsum(length)
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - (ends - length), length)]
+        return iter(np.split(ids, ends[np.cumsum(counts)[:-1] - 1]))
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, as uint32."""
+        plain = [
+            bool(t) and self.cuts and not _ODD.search(t) and not any(a in t for a in self.added) for t in texts
+        ]
+        cut = self._by_words([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else iter(())
+        whole = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
+        for p in plain:
+            yield next(cut) if p else np.array(next(whole), np.uint32)
+
+
+def encoder(path: str) -> WordEncoder:
+    """This worker's encoder for a tokenizer file."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def encoded(path: str, texts: list[str | None], end_id: int, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
     """Each text's ids and the end id, as little-endian uint32; a null text is empty.
 
-    Texts go to the library in lots of about ``at_once`` characters, so the
-    library's own results never hold more than one lot or one long text.
+    Texts are handled in lots of about ``at_once`` characters, so memory follows
+    one lot or one long text.
     """
-    tool = tokenizer(path)
+    tool = encoder(path)
     lot: list[str] = []
     size = 0
     for i, text in enumerate(texts):
         lot.append(text or "")
         size += len(lot[-1])
         if size >= at_once or i == len(texts) - 1:
-            for found in tool.encode_batch_fast(lot, add_special_tokens=False):
-                ids = np.empty(len(found.ids) + 1, "<u4")
-                ids[:-1] = found.ids
+            for found in tool.encode(lot):
+                ids = np.empty(len(found) + 1, "<u4")
+                ids[:-1] = found
                 ids[-1] = end_id
                 yield ids
             lot, size = [], 0
