@@ -9,6 +9,7 @@ from dialwright.examples.registry import query
 from dialwright.examples.series import METER_SQL
 from dialwright.functions.keys import date_key
 from dialwright.session import shared_dir
+from dialwright.sources.sinks import write_table
 from dialwright.streaming import ingest
 
 
@@ -54,10 +55,18 @@ def stream_tumbling(spark, sf_dir):
 
 @query("stream_meter_delta", METER_SQL)
 def stream_meter_delta(spark, sf_dir):
-    out, state, checkpoint = (shared_dir(spark, f"meter-{part}") for part in ("out", "state", "checkpoint"))
-    stream = events_stream(spark, sf_dir).select("event_id", "user_id", "ts", base.cents().alias("reading"))
-    ingest.stream_meter_delta(stream, ["user_id"], "ts", "reading", out, state, checkpoint, tie=["event_id"])
-    return spark.read.parquet(out).drop("batch", "ts")
+    """The events in four files; every ninth reading is in the file after the one it belongs to."""
+    folder, out, state, checkpoint = (shared_dir(spark, f"meter-{part}") for part in ("in", "out", "state", "checkpoint"))
+    events = base.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", base.cents().alias("reading"))
+    week = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    delivery = F.least(week + F.when(F.col("event_id") % 9 == 0, 1).otherwise(0), F.lit(3))
+    for number in range(4):
+        write_table(events.filter(delivery == number).coalesce(1), folder, "append")
+    stream = ingest.file_stream(spark, folder, events.schema, files_per_batch=1)
+    names = (["user_id"], "ts", "reading")
+    ingest.stream_meter_delta(stream, *names, out, state, checkpoint, tie=["event_id"], delay="9 days")
+    waiting = ingest.pending_meter_delta(spark, stream, *names, state, tie=["event_id"])
+    return spark.read.parquet(out).drop("batch").unionByName(waiting).drop("ts")
 
 
 @query(
@@ -74,6 +83,12 @@ def stream_upsert(spark, sf_dir):
         rows = batch if current is None else batch.unionByName(current)
         return rows.groupBy(*key).agg(F.max("event_id").alias("event_id"))
 
-    stream = events_stream(spark, sf_dir).select("event_id", "user_id", "event_type", date_key("ts").alias("date_key"))
+    events = base.table(spark, sf_dir, "events")
+    folder = shared_dir(spark, "upsert-in")
+    # Three files, the first of them empty.
+    for part in (events.filter("false"), events.filter("event_id % 3 = 0"), events.filter("event_id % 3 > 0")):
+        write_table(part.coalesce(1), folder, "append")
+    arriving = ingest.file_stream(spark, folder, events.schema, files_per_batch=1)
+    stream = arriving.select("event_id", "user_id", "event_type", date_key("ts").alias("date_key"))
     ingest.upsert_batches(stream, out, checkpoint, ["date_key"], merge)
     return spark.read.schema("user_id bigint, event_type string, event_id bigint, date_key int").parquet(out)

@@ -39,6 +39,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         df.write.mode(mode).parquet(path)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table's folder; a missing one is fine."""
+    folder, fs = _path(spark, path)
+    fs.delete(folder, True)
+
+
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append to a Parquet table; appending nothing is free."""
     write_table(df, path, "append", partition_by)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dialwright.operators import timeseries
 from dialwright.sources.readers import is_missing
-from dialwright.sources.sinks import replace_partition, write_table
+from dialwright.sources.sinks import drop_table, replace_partition, write_table
 
 
 def file_stream(
@@ -84,19 +86,25 @@ def upsert_batches(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch.persist()
         try:
-            stored = spark.read.parquet(table)
-        except AnalysisException as error:
-            if not is_missing(error):
-                raise
-            replace_partition(merge(batch, None), table, partition_keys)
-            return
-        current = stored.join(batch.select(*partition_keys).distinct(), partition_keys, "left_semi")
-        # The merged rows read the partitions they replace, so they are
-        # written aside first.
-        aside = f"{checkpoint.rstrip('/')}-merged/batch={batch_id}"
-        write_table(merge(batch, current), aside)
-        replace_partition(spark.read.schema(stored.schema).parquet(aside), table, partition_keys)
+            # Read with the schema the merge gives, so an empty table is just empty.
+            shape = merge(batch, None).schema
+            try:
+                stored = spark.read.schema(shape).parquet(table)
+            except AnalysisException as error:
+                if not is_missing(error):
+                    raise
+                replace_partition(merge(batch, None), table, partition_keys)
+                return
+            current = stored.join(batch.select(*partition_keys).distinct(), partition_keys, "left_semi")
+            # The merged rows read the partitions they replace, so they are
+            # written aside first.
+            aside = f"{checkpoint.rstrip('/')}-merged/batch={batch_id}"
+            write_table(merge(batch, current), aside)
+            replace_partition(spark.read.schema(shape).parquet(aside), table, partition_keys)
+        finally:
+            batch.unpersist()
 
     return run_available(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
@@ -112,28 +120,74 @@ def stream_meter_delta(
     out: str = "delta",
     tie: list[str] | None = None,
     bucket_minutes: int = timeseries.DEFAULT_BUCKET_MINUTES,
+    delay: str = "0 seconds",
 ) -> StreamingQuery:
-    """Reset-aware meter deltas over a stream of files that arrive in time order.
-
-    The last reading of every series is kept as a small table, one version per
-    micro-batch.  Each batch is united with the version before it and goes
-    through the batch operator, so a dominant series is spread over its time
-    buckets.  A replayed batch reads the same version and rewrites its own
-    output folder, which makes the result exactly-once.
+    """Reset-aware meter deltas over a stream of files.
+
+    Readings may arrive up to ``delay`` behind the newest one of the stream:
+    until then they wait in the state beside the last emitted reading of their
+    series, and are emitted in time order.  :func:`pending_meter_delta` gives
+    the deltas of what still waits.  A reading older than the last emitted one
+    of its series comes too late and goes to ``<table>-late`` unchanged.
+
+    State is a small table, one version per micro-batch; only the version a
+    replay would need is kept besides the newest.  Each batch is united with
+    the version before it and goes through the batch operator, so a dominant
+    series is spread over its time buckets.  A replayed batch reads the same
+    version and rewrites its own output folder, which makes the result
+    exactly-once.
     """
     order = [ts, *(tie or [])]
+    place = F.struct(*order)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("__fresh", F.lit(True))
+        fresh = batch.withColumn("__emitted", F.lit(False))
+        known = spark.createDataFrame([], state_schema)
         if batch_id > 0:
-            previous = spark.read.schema(last_schema).parquet(f"{state}/version={batch_id - 1}")
-            rows = rows.unionByName(previous.withColumn("__fresh", F.lit(False)), allowMissingColumns=True)
-        delta = timeseries.meter_delta(rows, series, ts, value, out, tie, bucket_minutes)
-        write_table(delta.filter("__fresh").drop("__fresh"), f"{table}/batch={batch_id}")
-        kept = [c for c in dict.fromkeys([*order, value])]
-        last = rows.groupBy(*series).agg(F.max_by(F.struct(*kept), F.struct(*order)).alias("__last"))
-        write_table(last.select(*series, "__last.*"), f"{state}/version={batch_id}")
-
-    last_schema = stream.select(*series, *dict.fromkeys([*order, value])).schema
+            known = spark.read.schema(state_schema).parquet(f"{state}/version={batch_id - 1}")
+        marks = known.filter("__emitted").select(*[F.col(s).alias(f"__of_{s}") for s in series], place.alias("__last"))
+        same = reduce(and_, (F.col(s).eqNullSafe(F.col(f"__of_{s}")) for s in series), F.lit(True))
+        judged = fresh.join(marks, same, "left").withColumn("__late", F.coalesce(place < F.col("__last"), F.lit(False)))
+        judged = judged.drop("__last", *[f"__of_{s}" for s in series]).persist()
+        try:
+            write_table(judged.filter("__late").drop("__late", "__emitted"), f"{table}-late/batch={batch_id}")
+            rows = judged.filter("NOT __late").drop("__late").unionByName(known).persist()
+            try:
+                newest = rows.agg(F.max(ts).alias("t")).select((F.col("t") - F.expr(f"INTERVAL {delay}")).alias("t")).scalar()
+                ready = F.col("__emitted") | (F.col(ts) <= newest)
+                delta = timeseries.meter_delta(rows, series, ts, value, out, tie, bucket_minutes)
+                write_table(delta.filter(ready & ~F.col("__emitted")).drop("__emitted"), f"{table}/batch={batch_id}")
+                columns = [c for c in stream.columns if c not in series]
+                last = rows.filter(ready).groupBy(*series).agg(F.max_by(F.struct(*columns), place).alias("__row"))
+                kept = last.select(*series, "__row.*", F.lit(True).alias("__emitted"))
+                waiting = rows.filter(~ready)
+                write_table(kept.unionByName(waiting), f"{state}/version={batch_id}")
+            finally:
+                rows.unpersist()
+        finally:
+            judged.unpersist()
+        drop_table(spark, f"{state}/version={batch_id - 2}")
+
+    state_schema = stream.withColumn("__emitted", F.lit(False)).schema
     return run_available(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
+def pending_meter_delta(
+    spark: SparkSession,
+    stream: DataFrame,
+    series: list[str],
+    ts: str,
+    value: str,
+    state: str,
+    out: str = "delta",
+    tie: list[str] | None = None,
+    bucket_minutes: int = timeseries.DEFAULT_BUCKET_MINUTES,
+) -> DataFrame:
+    """Deltas of the readings that wait in the newest state of :func:`stream_meter_delta`."""
+    schema = stream.withColumn("__emitted", F.lit(False)).schema
+    versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])).parquet(state)
+    newest = versions.agg(F.max("version").alias("v")).scalar()
+    rows = versions.filter(F.col("version") == newest).drop("version")
+    delta = timeseries.meter_delta(rows, series, ts, value, out, tie, bucket_minutes)
+    return delta.filter("NOT __emitted").drop("__emitted")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from dialwright.operators import timeseries
 from dialwright.plans import features, forecast
-from dialwright.session import shared_dir
+from dialwright.session import local_frame, shared_dir
 from dialwright.sources.sinks import write_table
 from dialwright.streaming import ingest
 
@@ -37,6 +39,28 @@ def test_meter_delta_over_several_batches(spark, sf_dir):
     assert got.count() == expected.count()
 
 
+def test_late_readings_wait_for_their_place(spark):
+    folder, out, state, checkpoint = (shared_dir(spark, n) for n in ("in", "out", "state", "checkpoint"))
+    schema = "s int, ts timestamp_ntz, reading bigint"
+    at = lambda text: dt.datetime.fromisoformat(f"2024-01-01T{text}")
+    files = [
+        [(1, at("08:00"), 10), (1, at("08:30"), 20)],
+        [(1, at("08:15"), 15), (1, at("10:00"), 30)],
+        [(1, at("08:05"), 11), (1, at("11:00"), 33)],
+    ]
+    names = (["s"], "ts", "reading")
+    for rows_ in files:
+        write_table(local_frame(spark, rows_, schema).coalesce(1), folder, "append")
+        stream = ingest.file_stream(spark, folder, schema, files_per_batch=1)
+        ingest.stream_meter_delta(stream, *names, out, state, checkpoint, delay="20 minutes")
+    emitted = sorted((r["ts"].strftime("%H:%M"), r["delta"]) for r in spark.read.parquet(out).collect())
+    assert emitted == [("08:00", None), ("08:15", 5), ("08:30", 5), ("10:00", 10)]
+    waiting = ingest.pending_meter_delta(spark, stream, *names, state).collect()
+    assert [(r["ts"].strftime("%H:%M"), r["delta"]) for r in waiting] == [("11:00", 3)]
+    assert [r["reading"] for r in spark.read.parquet(f"{out}-late").collect()] == [11]
+    assert spark.read.parquet(state).select("version").distinct().count() == 2
+
+
 def test_new_files_are_read_once(spark, sf_dir):
     events, folder = three_files(spark, sf_dir)
     out, checkpoint = shared_dir(spark, "ingested"), shared_dir(spark, "checkpoint")
@@ -70,10 +94,13 @@ def test_models_train_select_and_score(spark):
         (F.col("id") % 7).cast("int").alias("day_of_week"),
         # A plane in both features: only the linear model can fit it exactly.
         ((F.col("id") % 24) * 3.0 + (F.col("id") % 7) * 5.0 - 10).alias("kwh"),
+        F.timestamp_seconds("id").alias("ts"),
     )
     model = forecast.train_gbt(rows, ["hour", "day_of_week"], "kwh", trees=5)
     scored = forecast.predict(model, rows)
     assert scored.filter("predicted < 0").count() == 0 and scored.count() == 400
+    holes = rows.withColumn("hour", F.when(F.col("kwh") > 20, F.col("hour")))
+    assert forecast.predict(forecast.train_gbt(holes, ["hour", "day_of_week"], "kwh", trees=2), holes).filter("predicted IS NOT NULL").count() == 400
     scores, best = forecast.select_model(rows, ["hour", "day_of_week"], "kwh", folds=2, trees=2)
     ranked = scores.orderBy("rmse").collect()
     assert len(ranked) == 4 and ranked[0]["is_best"] and not any(r["is_best"] for r in ranked[1:])
