@@ -6,8 +6,13 @@ on their keys, the same way in Spark and in the checking SQL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dialwright import fixed_values as fv
 from dialwright.examples.registry import cte
@@ -16,8 +21,11 @@ from dialwright.operators import dimensions
 from dialwright.operators.aggregates import bounds
 from dialwright.plans import facts
 from dialwright.session import local_frame, shared_dir
+from dialwright.sources.readers import is_missing
 from dialwright.sources.sinks import write_table
 
+Frames = DataFrame | tuple[DataFrame, ...]
+
 UNIT_SCHEMA = (
     "unit_key bigint, unit_id int, unit_name string, rated_kwp decimal(18,4), string_count int, "
     "roof_section string, install_date date, is_active boolean"
@@ -56,6 +64,40 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_LAYERS: dict[tuple[str, str, str], list[tuple[str, StructType]]] = {}
+
+
+def layer(build: Callable[..., Frames]) -> Callable[..., Frames]:
+    """Write what ``build(spark, sf_dir)`` returns once per session and read it afterwards.
+
+    Dimensions and facts are tables that many marts share; a mart then scans
+    each of them once instead of deriving it from the raw tables again.
+    ``.build`` is the plain function.
+    """
+
+    @wraps(build)
+    def read(spark: SparkSession, sf_dir: str) -> Frames:
+        place = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if place in _LAYERS:
+            try:
+                frames = [spark.read.schema(schema).parquet(path) for path, schema in _LAYERS[place]]
+                return frames[0] if len(frames) == 1 else tuple(frames)
+            except AnalysisException as error:
+                if not is_missing(error):  # a folder that was cleaned up is built again
+                    raise
+        built = build(spark, sf_dir)
+        tables = []
+        for df in built if isinstance(built, tuple) else (built,):
+            path = shared_dir(spark, build.__name__)
+            write_table(df, path)
+            tables.append((path, df.schema))
+        _LAYERS[place] = tables
+        return read(spark, sf_dir)
+
+    read.build = build
+    return read
+
+
 # --- device readings: every event is one reading of a unit -----------------
 
 STATUS_OF_EVENT = {"view": 0, "click": 6, "error": 14, "signup": 3}
@@ -110,6 +152,7 @@ def silver_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@layer
 def unit_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = local_frame(spark, [], UNIT_SCHEMA)
     return dimensions.load_units(
@@ -136,6 +179,7 @@ def unknown_status(spark: SparkSession) -> DataFrame:
     return local_frame(spark, [(fv.UNKNOWN_STATUS_KEY, *fv.UNKNOWN_STATUS)], STATUS_SCHEMA)
 
 
+@layer
 def status_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = local_frame(spark, [], STATUS_SCHEMA)
     return dimensions.load_statuses(
@@ -155,6 +199,7 @@ cte(
 )
 
 
+@layer
 def device(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Device fact with the two dimensions it refers to."""
     units, statuses = unit_dim(spark, sf_dir), status_dim(spark, sf_dir)
@@ -175,10 +220,12 @@ cte(
 # --- calendar ---------------------------------------------------------------
 
 
+@layer
 def days_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dim_date(dimensions.calendar_between(bounds(table(spark, sf_dir, "events"), "ts")))
 
 
+@layer
 def days_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dim_date(dimensions.calendar_between(bounds(table(spark, sf_dir, "orders"), "o_orderdate")))
 
@@ -222,10 +269,12 @@ def slot_energy(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     )
 
 
+@layer
 def production(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.meter_fact(slot_energy(spark, sf_dir, "signup"), "reading", "delta", "retail_value")
 
 
+@layer
 def consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.meter_fact(slot_energy(spark, sf_dir, "purchase"), "reading", "delta", "cost")
 
@@ -253,6 +302,7 @@ def sensor(spark: SparkSession, sf_dir: str, event_type: str, value: str) -> Dat
     )
 
 
+@layer
 def environment(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("double")
     warm = sensor(spark, sf_dir, "click", "actual_temp").withColumn("temp_delta", none)
@@ -490,6 +540,7 @@ BOOKING_COLUMNS = {
 }
 
 
+@layer
 def booking_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     silver = stored(silver_bookings(spark, sf_dir), "silver-bookings")
     rooms, divisions = room_dim(silver), division_dim(silver)

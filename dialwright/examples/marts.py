@@ -124,6 +124,7 @@ def kpi_home_all_slots(spark, sf_dir):
     return _kpi(spark, sf_dir, all_slots=True)
 
 
+@base.layer
 def forecast_parts(spark, sf_dir):
     """Forecast fact with its site and measure dimensions."""
     raw = base.raw_forecasts(spark, sf_dir)
@@ -221,6 +222,7 @@ cte(
 )
 
 
+@base.layer
 def backfilled(spark, sf_dir):
     rows, models = prediction_rows(spark, sf_dir)
     return facts.backfill_actuals(rows, base.production(spark, sf_dir), base.consumption(spark, sf_dir)), models
@@ -289,7 +291,7 @@ query("flat_export", "SELECT * FROM {export}")(export)
        date_key // 10000 AS year, date_key // 100 % 100 AS month FROM {device}""",
 )
 def device_fact(spark, sf_dir):
-    rows, units, statuses = base.device(spark, sf_dir)
+    rows, units, statuses = base.device.build(spark, sf_dir)
     return (
         rows.join(units.select("unit_key", "unit_id"), "unit_key")
         .join(statuses.select("status_key", "status_code"), "status_key")
@@ -305,7 +307,7 @@ def device_fact(spark, sf_dir):
        date_key // 10000 AS year, date_key // 100 % 100 AS month FROM {consumption}""",
 )
 def meter_fact(spark, sf_dir):
-    return base.consumption(spark, sf_dir)
+    return base.consumption.build(spark, sf_dir)
 
 
 @query(
@@ -315,7 +317,7 @@ def meter_fact(spark, sf_dir):
        date_key // 10000 AS year, date_key // 100 % 100 AS month FROM {environment}""",
 )
 def environment_fact(spark, sf_dir):
-    return base.environment(spark, sf_dir)
+    return base.environment.build(spark, sf_dir)
 
 
 @query(
@@ -324,7 +326,7 @@ def environment_fact(spark, sf_dir):
        FROM {forecast_fact}""",
 )
 def forecast_fact(spark, sf_dir):
-    rows, sites, measures = forecast_parts(spark, sf_dir)
+    rows, sites, measures = forecast_parts.build(spark, sf_dir)
     return (
         rows.join(sites.select("site_key", "site_name"), "site_key")
         .join(measures.select("measure_key", "measure_code"), "measure_key")
@@ -340,7 +342,7 @@ def forecast_fact(spark, sf_dir):
        date_key // 10000 AS year, date_key // 100 % 100 AS month FROM {booking_fact}""",
 )
 def booking_fact(spark, sf_dir):
-    rows, rooms, divisions = base.booking_fact(spark, sf_dir)
+    rows, rooms, divisions = base.booking_fact.build(spark, sf_dir)
     return (
         rows.join(rooms.select("room_key", "room_code"), "room_key")
         .join(divisions.select("division_key", "division_name"), "division_key")
