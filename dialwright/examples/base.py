@@ -36,17 +36,17 @@ STATUS_SCHEMA = (
 )
 SITE_SCHEMA = (
     "site_key bigint, site_name string, site_description string, is_synthetic boolean, "
-    "latitude double, longitude double, altitude_m int"
+    "latitude double, longitude double, altitude_m int, country string"
 )
 MEASURE_SCHEMA = (
     "measure_key bigint, measure_code string, measure_name string, category string, unit string, "
-    "is_production_driver boolean"
+    "description string, is_production_driver boolean"
 )
 DIVISION_SCHEMA = (
     "division_key bigint, division_code string, division_name string, school_name string, is_active boolean"
 )
 ROOM_SCHEMA = (
-    "room_key bigint, room_code string, campus string, building string, wing string, floor int, "
+    "room_key bigint, room_code string, room_full_name string, campus string, building string, wing string, floor int, "
     "room_number string, room_type string, nominal_capacity int, is_active boolean"
 )
 MODEL_SCHEMA = "model_key bigint, model_code string, model_name string, model_type string"
@@ -375,14 +375,14 @@ cte(
 
 def site_meta(spark: SparkSession) -> DataFrame:
     rows = [
-        ("Middle", "Average of the two coast stations", True, 56.4, 10.9, 21),
-        ("South", "Harbour mast", False, 55.7, 12.6, 9),
-        ("North", "Lighthouse mast", False, 57.1, 9.2, 33),
+        ("Middle", "Average of the two coast stations", True, 56.4, 10.9, 21, None),
+        ("South", "Harbour mast", False, 55.7, 12.6, 9, "DK"),
+        ("North", "Lighthouse mast", False, 57.1, 9.2, 33, "DK"),
     ]
     return local_frame(
         spark,
         rows,
-        "site_name string, site_description string, is_synthetic boolean, latitude double, longitude double, altitude_m int",
+        "site_name string, site_description string, is_synthetic boolean, latitude double, longitude double, altitude_m int, country string",
     )
 
 

@@ -46,11 +46,11 @@ def status_dimension(spark, sf_dir):
 
 @query(
     "site_dimension",
-    """SELECT * FROM (VALUES ('East', 'Site East: metadata to be completed', false, NULL, NULL, NULL),
-         ('Middle', 'Average of the two coast stations', true, 56.4, 10.9, 21),
-         ('North', 'Lighthouse mast', false, 57.1, 9.2, 33),
-         ('South', 'Harbour mast', false, 55.7, 12.6, 9))
-         t(site_name, site_description, is_synthetic, latitude, longitude, altitude_m)
+    """SELECT * FROM (VALUES ('East', 'Site East: metadata to be completed', false, NULL, NULL, NULL, 'CH'),
+         ('Middle', 'Average of the two coast stations', true, 56.4, 10.9, 21, 'CH'),
+         ('North', 'Lighthouse mast', false, 57.1, 9.2, 33, 'DK'),
+         ('South', 'Harbour mast', false, 55.7, 12.6, 9, 'DK'))
+         t(site_name, site_description, is_synthetic, latitude, longitude, altitude_m, country)
        WHERE site_name = 'Middle' OR site_name IN (SELECT "Site" FROM {raw_forecasts})""",
 )
 def site_dimension(spark, sf_dir):
@@ -70,6 +70,7 @@ def site_dimension(spark, sf_dir):
          ELSE 'Unknown' END AS category,
        CASE m WHEN 'PRED_GLOB_ctrl' THEN 'Watt/m2' WHEN 'PRED_T_2M_ctrl' THEN '°C'
          WHEN 'PRED_RELHUM_2M_ctrl' THEN 'Percent' WHEN 'PRED_TOT_PREC_ctrl' THEN 'Kg/m2' ELSE 'x' END AS unit,
+       'Automatically inserted — description to be completed.' AS description,
        m = 'PRED_GLOB_ctrl' AS is_production_driver
        FROM (SELECT DISTINCT "Measurement" AS m FROM {raw_forecasts})""",
 )
@@ -86,7 +87,7 @@ def division_dimension(spark, sf_dir):
 
 @query(
     "room_dimension",
-    """SELECT room_code, 'Main' AS campus, 'HQ-1' AS building, wing, floor, room_number, room_type,
+    """SELECT room_code, room_code AS room_full_name, 'Main' AS campus, 'HQ-1' AS building, wing, floor, room_number, room_type,
        CAST(NULL AS INTEGER) AS nominal_capacity, true AS is_active FROM {room_dim}""",
 )
 def room_dimension(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dialwright.examples import base, marts
 from dialwright.examples.registry import query
 from dialwright.functions.keys import floor_minutes
-from dialwright.plans import silver
+from dialwright.plans import features, silver
 from dialwright.session import shared_dir
 from dialwright.sources import files, readers, sinks
 
@@ -194,3 +194,53 @@ def positional_rejects(spark, sf_dir):
     lines = events.select(line.alias("n;n;n"))
     lines.write.option("header", True).option("quote", "").option("sep", "\t").csv(path)
     return readers.positional_rejects(spark, path, ["a", "b", "c"]).select("line")
+
+
+@query(
+    "listed_new_files",
+    "SELECT DISTINCT 'event_type=' || event_type AS folder FROM events WHERE event_type NOT IN ('view', 'click')",
+)
+def listed_new_files(spark, sf_dir):
+    """Files of a real folder whose delivery has not been ingested yet."""
+    path = shared_dir(spark, "deliveries")
+    events = base.table(spark, sf_dir, "events").select("event_id", "event_type")
+    sinks.write_table(events, path, partition_by=["event_type"])
+    listing = files.list_files(spark, path, "*.parquet").withColumn("folder", F.element_at(F.split("path", "/"), -2))
+    done = events.filter("event_type IN ('view', 'click')").select(F.concat(F.lit("event_type="), "event_type").alias("folder"))
+    return files.new_files(listing.filter("length > 0"), done, "folder").select("folder").distinct()
+
+
+@query("repeated_headers", "SELECT CAST(event_id AS VARCHAR) AS n0, event_type AS kind, CAST(user_id AS VARCHAR) AS n2 FROM events")
+def repeated_headers(spark, sf_dir):
+    """A header that names two columns alike: one gets its position, one a meaning."""
+    events = base.table(spark, sf_dir, "events")
+    lines = F.concat_ws("\t", F.col("event_id").cast("string"), "event_type", F.col("user_id").cast("string"))
+    path = shared_dir(spark, "repeated-headers")
+    # One cell per line under a header that reads as three.
+    events.select(lines.alias("n\tx\tn")).write.option("header", True).option("quote", "").option("sep", "|").csv(path)
+    return readers.read_tsv_unquoted(spark, path, meanings={1: "kind"})
+
+
+@query(
+    "config_round_trip",
+    """SELECT c_nationkey AS code, CASE WHEN c_nationkey % 2 = 0 THEN 'new' ELSE 'old' END AS name, count(*) AS kept
+       FROM customer GROUP BY c_nationkey""",
+)
+def config_round_trip(spark, sf_dir):
+    """A JSON configuration is written, merged by key and read back; a missing one gives the default."""
+    rows = base.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("code")).agg(F.count(F.lit(1)).alias("kept"))
+    path = shared_dir(spark, "config")
+    sinks.write_config(rows.withColumn("name", F.lit("old")), path, ["code"])
+    sinks.write_config(rows.filter("code % 2 = 0").select("code", F.lit("new").alias("name")), path, ["code"])
+    schema = "code int, name string, kept bigint"
+    nothing = rows.select("code", F.lit("default").alias("name"), "kept").filter("false")
+    missing = readers.read_config(spark, f"{path}-absent", schema, nothing)
+    return spark.read.schema(schema).json(path).unionByName(missing)
+
+
+@query(
+    "text_timestamps",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" FROM events",
+)
+def text_timestamps(spark, sf_dir):
+    return features.as_text_timestamp(base.table(spark, sf_dir, "events").select("ts", "event_id"))

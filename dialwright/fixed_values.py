@@ -89,5 +89,11 @@ GBT_TREES = 100
 GBT_LEARNING_RATE = 0.1
 GBT_DEPTH = 5
 
+# Description of a measure type that nobody has described yet.
+MEASURE_DESCRIPTION = "Automatically inserted — description to be completed."
+
+# Country of a weather site whose metadata names none.
+DEFAULT_COUNTRY = "CH"
+
 # Name Spark and Hive give the partition of NULL keys.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"

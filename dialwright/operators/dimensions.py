@@ -13,6 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialwright import fixed_values as fv
 from dialwright.functions.calendar import day_before, is_weekend
 from dialwright.functions.keys import assign_keys, date_key
 from dialwright.functions.text import code_label, initials, room_parts, unit_name
@@ -103,8 +104,13 @@ def load_statuses(dim: DataFrame, src: DataFrame, code: str, meta: DataFrame, un
     return insert_new(guarded, fresh, ["status_code"], "status_key")
 
 
-def load_sites(dim: DataFrame, src: DataFrame, site: str, meta: DataFrame, forced: list[str]) -> DataFrame:
-    """Weather sites; the ``forced`` (synthetic) ones are added even if never observed."""
+def load_sites(
+    dim: DataFrame, src: DataFrame, site: str, meta: DataFrame, forced: list[str], country: str = fv.DEFAULT_COUNTRY
+) -> DataFrame:
+    """Weather sites; the ``forced`` (synthetic) ones are added even if never observed.
+
+    ``country`` is that of sites whose metadata names none.
+    """
     names = src.select(F.trim(F.col(site)).alias("site_name"))
     if forced:
         names = names.unionByName(meta.filter(F.col("site_name").isin(forced)).select("site_name"))
@@ -118,8 +124,9 @@ def load_sites(dim: DataFrame, src: DataFrame, site: str, meta: DataFrame, force
             "latitude": F.lit(None).cast("double"),
             "longitude": F.lit(None).cast("double"),
             "altitude_m": F.lit(None).cast("int"),
+            "country": F.lit(None).cast("string"),
         },
-    )
+    ).withColumn("country", F.coalesce("country", F.lit(country)))
     return insert_new(dim, fresh, ["site_name"], "site_key")
 
 
@@ -140,9 +147,11 @@ def load_measures(dim: DataFrame, src: DataFrame, code: str, unit: str, meta: Da
             "measure_name": F.col("measure_code"),
             "category": F.lit("Unknown"),
             "unit": F.col("source_unit"),
+            "description": F.lit(None).cast("string"),
             "is_production_driver": F.lit(False),
         },
     ).drop("source_unit")
+    fresh = fresh.withColumn("description", F.coalesce("description", F.lit(fv.MEASURE_DESCRIPTION)))
     return insert_new(dim, fresh, ["measure_code"], "measure_key")
 
 
@@ -172,6 +181,7 @@ def load_rooms(dim: DataFrame, src: DataFrame, room: str, campus: str, building:
         .withColumn("__parts", parts)
         .select(
             "room_code",
+            F.col("room_code").alias("room_full_name"),
             F.lit(campus).alias("campus"),
             F.lit(building).alias("building"),
             "__parts.*",
