@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dialwright.examples import base, marts
 from dialwright.examples.registry import query
+from dialwright.plans import marts as build
 from dialwright.plans import reports
 
 
@@ -86,7 +87,8 @@ def occupancy_by_week(spark, sf_dir):
 @query(
     "occupancy_trend",
     """SELECT division_code, full_date, round(pct, 5) AS occupation_rate_pct,
-       round(regr_slope(pct, x) OVER w, 8) AS slope FROM (
+       round(regr_slope(pct, x) OVER w, 8) AS slope, round(regr_intercept(pct, x) OVER w, 4) AS intercept,
+       round(regr_slope(pct, x) OVER w * x + regr_intercept(pct, x) OVER w, 5) AS trend_pct FROM (
          SELECT division_code, full_date, sum(total_booked_minutes) / 7.2 / count(*) AS pct,
                 CAST(date_diff('day', DATE '1970-01-01', CAST(full_date AS DATE)) AS DOUBLE) AS x
          FROM {occupation} WHERE division_code IS NOT NULL GROUP BY 1, 2) WINDOW w AS (PARTITION BY division_code)""",
@@ -98,6 +100,8 @@ def occupancy_trend(spark, sf_dir):
         "full_date",
         F.round("occupation_rate_pct", 5).alias("occupation_rate_pct"),
         F.round("slope", 8).alias("slope"),
+        F.round("intercept", 4).alias("intercept"),
+        F.round("trend_pct", 5).alias("trend_pct"),
     )
 
 
@@ -146,8 +150,10 @@ def temp_corr(spark, sf_dir):
     "SELECT full_date, unit_name, status_category, reading_count FROM {breakdown} WHERE full_date BETWEEN '2024-01-08' AND '2024-01-14' AND unit_name IN ('INV-01', 'INV-03') AND status_category = 'Error'",
 )
 def filter_bar(spark, sf_dir):
+    rows, units, statuses = base.device(spark, sf_dir)
+    week = reports.filter_days(rows, "2024-01-08", "2024-01-14")
     kept = reports.filter_bar(
-        marts.breakdown(spark, sf_dir),
+        build.status_breakdown(week, base.days_of_events(spark, sf_dir), units, statuses),
         "full_date",
         "2024-01-08",
         "2024-01-14",

@@ -13,6 +13,19 @@ from dialwright.functions import measures
 from dialwright.operators.reshape import heatmap
 
 
+def filter_days(fact: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The rows of a fact inside a date range, as bounds on ``date_key`` that reach its scan.
+
+    A mart knows the date only after its calendar join; bounding the fact
+    before spares reading the other days.
+    """
+    if first is not None:
+        fact = fact.filter(F.col("date_key") >= int(first.replace("-", "")))
+    if last is not None:
+        fact = fact.filter(F.col("date_key") <= int(last.replace("-", "")))
+    return fact
+
+
 def filter_bar(
     df: DataFrame,
     day: str | None = None,
