@@ -130,16 +130,15 @@ def test_incremental_load_is_idempotent_and_finds_late_rows(spark):
 
     loaded = build(frame([(1, 1), (2, 2)]))
     source = frame([(1, 1), (2, 2), (3, 2), (4, 3)])
-    mark = increments.watermark(loaded)
-    plain = facts.load_increment(source, "ts", loaded, ["id"], build, mark)
+    plain = facts.load_increment(source, "ts", loaded, ["id"], build)
     assert [r["id"] for r in plain.collect()] == [4]
-    late = facts.load_increment(source, "ts", loaded, ["id"], build, mark, lookback_days=1)
+    late = facts.load_increment(source, "ts", loaded, ["id"], build, lookback_days=1)
     assert sorted(r["id"] for r in late.collect()) == [3, 4]
     after = loaded.unionByName(late)
-    again = facts.load_increment(source, "ts", after, ["id"], build, increments.watermark(after), lookback_days=3)
+    again = facts.load_increment(source, "ts", after, ["id"], build, lookback_days=3)
     assert again.count() == 0
     nothing = loaded.limit(0)
-    everything = facts.load_increment(source, "ts", nothing, ["id"], build, increments.watermark(nothing))
+    everything = facts.load_increment(source, "ts", nothing, ["id"], build)
     assert everything.count() == 4
 
 
