@@ -66,11 +66,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.Table]:
     """The rows of each run of equal values in ``columns``, for input sorted by them.
 

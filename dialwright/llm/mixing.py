@@ -41,7 +41,7 @@ def poisson_cdf(rate: Column) -> Column:
 def source_rates(
     docs: DataFrame, weights: dict[str, float] | None, *, budget_rows: float | None = None, source: str = "source"
 ) -> DataFrame:
-    """``__source``, ``rate`` and the distribution function ``cdf`` per source.
+    """``__source``, ``__rate`` and the distribution function ``__cdf`` per source.
 
     ``weights`` are shares of the result (any scale); a source not named gets
     none.  Without weights all sources count alike.  ``budget_rows`` is the
@@ -60,8 +60,8 @@ def source_rates(
     budget = float(budget_rows if budget_rows is not None else total["n"] or 0)
     rate = F.col("weight") / F.lit(float(total["w"] or 1)) * F.lit(budget) / F.col("n")
     checked = F.when(rate <= MAX_RATE, rate).otherwise(F.raise_error(F.lit(f"a source's rate is over {MAX_RATE}")).cast("double"))
-    rated = held.select("__source", checked.alias("rate"))
-    return rated.withColumn("cdf", F.when(F.col("rate") > 0, poisson_cdf(F.col("rate"))))
+    rated = held.select("__source", checked.alias("__rate"))
+    return rated.withColumn("__cdf", F.when(F.col("__rate") > 0, poisson_cdf(F.col("__rate"))))
 
 
 def mix(
@@ -87,9 +87,9 @@ def mix(
     rates = stored(source_rates(docs, weights, budget_rows=budget_rows, source=source), "source-rates")
     keyed = docs.withColumn("__source", F.coalesce(F.col(source), F.lit("\0")))
     drawn = keyed.join(rates, "__source").withColumn("__u", uniform(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    count = F.when(F.col("rate") > 0, F.size(F.filter("cdf", lambda c: c <= F.col("__u")))).otherwise(0)
+    count = F.when(F.col("__rate") > 0, F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))).otherwise(0)
     # A separate column first: copies are made of the kept columns only.
-    counted = drawn.withColumn("__n", count).where("__n > 0").drop("__source", "rate", "cdf", "__u", "copy", "shuffle_key")
+    counted = drawn.withColumn("__n", count).where("__n > 0").drop("__source", "__rate", "__cdf", "__u", "copy", "shuffle_key")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
     place = F.md5(F.concat_ws(":", F.lit(seed + 1), F.coalesce(F.col(key).cast("string"), F.lit("")), "copy"))
     return copies.withColumn("shuffle_key", place).repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 PASSAGE = "This passage of well over fifty bytes stands in several of the documents, word for word."
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, copy int, fp string, shard long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, copy int, fp string, shard long, doc int, version int, rate int, cdf int, block int, id int"
 
 
 def texts(seed: int = 3, n: int = 40) -> list[tuple[int | None, str | None, str | None]]:
@@ -43,7 +43,7 @@ def texts(seed: int = 3, n: int = 40) -> list[tuple[int | None, str | None, str
 
 def documents(spark, rows=None):
     """The corpus with extra columns whose names the operators use themselves."""
-    filled = [(i, t, "xx", s, len(t or ""), None, 7, "f", 1) for i, t, s in (texts() if rows is None else rows)]
+    filled = [(i, t, "xx", s, len(t or ""), None, 7, "f", 1, 2, 3, 4, 5, 6, 8) for i, t, s in (texts() if rows is None else rows)]
     return spark.createDataFrame(filled, SCHEMA).repartition(3)
 
 
