@@ -23,7 +23,8 @@ MAX_REPEATED_PERCENT = 20
 BUCKETS = 1 << 18  # per n-gram length; bounds the weights at 2 x 262,144 rows
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SMOOTHING = 5.0
-THRESHOLD = -0.3
+TRUSTED_DOCUMENTS = 20_000
+THRESHOLD = -0.5
 
 
 def words_of(text: Column) -> Column:
@@ -46,10 +47,15 @@ def _with_word_hashes(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("__words", words_of(F.col(text))).withColumn("__hashes", hashed)
 
 
-def trusted_ids(labels: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """Keys of documents labelled good and not toxic in all their labels."""
+def trusted_ids(labels: DataFrame, *, most: int = TRUSTED_DOCUMENTS, key: str = "doc_id") -> DataFrame:
+    """Keys of documents labelled good and not toxic in all their labels.
+
+    ``most`` bounds this sample of labelled documents, taken by a hash of the
+    key; the bound is what lets it be broadcast.
+    """
     judged = labels.groupBy(key).agg(F.min("quality").alias("__quality"), F.max("toxic").alias("__toxic"))
-    return judged.where("__quality = 1 and __toxic = 0").select(F.col(key).alias("__trusted"))
+    good = judged.where(F.col(key).isNotNull() & (F.col("__quality") == 1) & (F.col("__toxic") == 0))
+    return good.orderBy(F.xxhash64(key), key).limit(most).select(F.col(key).alias("__trusted"))
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -61,7 +67,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, *, key: str = "doc_id",
     of the trusted one), so a rare bucket's ratio stays near 1 whether or not
     its texts are labelled.  Without any trusted text all weights are 0.
     """
-    marked = docs.select(key, text).join(trusted.distinct(), F.col(key) == F.col("__trusted"), "left")
+    # The trusted sample has a fixed bound; joined this way no text is shuffled.
+    sample = F.broadcast(trusted.distinct().limit(TRUSTED_DOCUMENTS))
+    marked = docs.select(key, text).join(sample, F.col(key) == F.col("__trusted"), "left")
     flagged = marked.select(F.col("__trusted").isNotNull().cast("long").alias("__good"), F.col(text).alias("__text"))
     singles, pairs = _gram_buckets("__hashes")
     grams = _with_word_hashes(flagged, "__text").select("__good", F.explode(F.concat(singles, pairs)).alias("bucket"))
