@@ -29,7 +29,7 @@ class WordEncoder:
     so the bound changes time, not results.
     """
 
-    def __init__(self, path: str, kept_words: int = 400_000) -> None:
+    def __init__(self, path: str, kept_words: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 

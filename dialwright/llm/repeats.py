@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialwright.llm.common import drop_stored, prepare, runs, stored
@@ -37,16 +38,19 @@ from dialwright.llm.suffix_arrays import (
     window_keys,
 )
 
-BYTES_PER_SHARD = 8 << 20  # of corpus text, on average
-RUNS_PER_PART = 150_000  # of a shard; about 10 MB of text at most
+BYTES_PER_SHARD = 2 << 20  # of corpus text, on average
+RUNS_PER_PART = 100_000  # of a shard, some times what an average shard has; about 7 MB of text at most
 _NOBODY = np.iinfo(np.int64).max
 _SEVERAL = np.uint16(1 << 15)
 
 
+def _version(text: str) -> Column:
+    """Tells different texts under one key apart: 32 bits of their hash."""
+    return F.xxhash64(text).bitwiseAND((1 << 32) - 1)
+
+
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(
-        F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("text")
-    )
+    return docs.select(F.col(key).cast("long").alias("doc"), _version(text).alias("version"), F.col(text).alias("text"))
 
 
 def _ids(batch: pa.RecordBatch, column: str) -> np.ndarray:
@@ -211,29 +215,45 @@ def _window_runs(keyed: DataFrame, anchors: DataFrame, shards: int, size: int) -
             for part, start, end in _pieces(shard):
                 place: dict[bytes, int] = {}
                 member = [place.setdefault(s, len(place)) for s in strings[start:end]]
-                packed.append(
-                    (
-                        part,
-                        first + number,
-                        b"".join(place),
-                        np.array([len(s) for s in place], np.uint8).tobytes(),
-                        np.array(member, np.int32).tobytes(),
-                        docs[start:end].tobytes(),
-                        versions[start:end].tobytes(),
-                        low[start:end].tobytes(),
-                    )
-                )
-            columns = list(zip(*packed, strict=True)) or [()] * 8
-            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
+                lengths = np.array([len(s) for s in place], np.uint8)
+                occurrences = (np.array(member, np.int32), docs[start:end], versions[start:end], low[start:end])
+                packed.append((part, first + number, *_squeezed(b"".join(place), lengths, *occurrences)))
+            columns = list(zip(*packed, strict=True)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    names = ["shard", "batch", "bytes", "lengths", "member", "docs", "versions", "starts"]
-    schema = "shard long, batch long, bytes binary, lengths binary, member binary, docs binary, versions binary, starts binary"
+    names = ["shard", "batch", "distinct", "found", "packed"]
+    schema = "shard long, batch long, distinct long, found long, packed binary"
     # One row of anchors per document version: repeated rows of a document ask alike.
     asked = anchors.dropDuplicates(["doc", "version"])
     return keyed.join(asked, ["doc", "version"]).mapInArrow(cut, schema)
 
 
+def _squeezed(
+    strings: bytes, lengths: np.ndarray, member: np.ndarray, docs: np.ndarray, versions: np.ndarray, starts: np.ndarray
+) -> tuple[int, int, bytes]:
+    """Number of distinct runs, of occurrences, and both compressed: runs are text, which Spark's own codec packs loosely."""
+    numbers = (versions.astype(np.uint32), docs, starts, member)
+    # Byte by byte, first all lowest bytes: the high ones are nearly all zero and vanish.
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in numbers)
+    joined = b"".join((*planes, lengths.tobytes(), strings))
+    return len(lengths), len(member), len(joined).to_bytes(8, "little") + pa.compress(joined, "zstd", asbytes=True)
+
+
+def _opened(distinct: int, found: int, packed: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What :func:`_squeezed` packed, in its order of arguments."""
+    data = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+    numbers, at = [], 0
+    for kind in (np.uint32, np.int64, np.int64, np.int32):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, width * found, at).reshape(width, found)
+        numbers.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += width * found
+    versions, docs, starts, member = numbers
+    lengths = np.frombuffer(data, np.uint8, distinct, at)
+    return data[at + distinct :], lengths, member, docs, versions.astype(np.int64), starts
+
+
 class _Part:
     """The distinct runs of one part of a shard and where they occur."""
 
@@ -241,16 +261,16 @@ class _Part:
         place: dict[bytes, int] = {}
         member, docs, versions, starts = [], [], [], []
         for row in rows:
-            ends = np.cumsum(np.frombuffer(row["lengths"], np.uint8).astype(np.int64)).tolist()
-            data, at = row["bytes"], 0
+            data, lengths, own_member, own_docs, own_versions, own_starts = _opened(row["distinct"], row["found"], row["packed"])
+            ends, at = np.cumsum(lengths.astype(np.int64)).tolist(), 0
             numbers = np.empty(len(ends), np.int64)
             for i, end in enumerate(ends):
                 numbers[i] = place.setdefault(data[at:end], len(place))
                 at = end
-            member.append(numbers[np.frombuffer(row["member"], np.int32)])
-            docs.append(np.frombuffer(row["docs"], np.int64))
-            versions.append(np.frombuffer(row["versions"], np.int64))
-            starts.append(np.frombuffer(row["starts"], np.int64))
+            member.append(numbers[own_member])
+            docs.append(own_docs)
+            versions.append(own_versions)
+            starts.append(own_starts)
         self.member, self.docs, self.versions, self.starts = map(np.concatenate, (member, docs, versions, starts))
         self.lengths = np.array([len(s) for s in place], np.int64)
         self.text = np.frombuffer(b"\xff".join(place) + b"\xff", np.uint8)
@@ -342,9 +362,14 @@ def removed_stretches(docs: DataFrame, *, size: int = 50, key: str = "doc_id", t
 
 
 def _release(spark) -> None:
-    """Let Spark delete the shuffle files of finished steps now rather than at its next collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished steps now rather than at its next collection.
+
+    The first collection finds the plans unused, the second what only they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)  # Spark deletes in the background
 
 
 def _united(stretches: list[int] | None) -> list[tuple[int, int]]:
@@ -370,9 +395,11 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def _with_stretches(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
     found = removed_stretches(docs, size=size, key=key, text=text)
-    lists = found.groupBy("doc", "version").agg(F.collect_list("stretch").alias("__stretches"))
-    same = (F.col(key).cast("long") == F.col("doc")) & (F.xxhash64(text) == F.col("version"))
-    return docs.join(lists, same, "left").drop("doc", "version")
+    lists = found.groupBy(F.col("doc").alias("__doc"), F.col("version").alias("__version")).agg(
+        F.collect_list("stretch").alias("__stretches")
+    )
+    same = (F.col(key).cast("long") == F.col("__doc")) & (_version(text) == F.col("__version"))
+    return docs.join(lists, same, "left").drop("__doc", "__version")
 
 
 def repeat_digest(docs: DataFrame, *, size: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:

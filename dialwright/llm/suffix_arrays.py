@@ -25,14 +25,15 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
     Suffixes start out grouped by their first eight bytes.  Each round sorts
     only inside groups that still hold several suffixes, by the group that the
-    suffix ``known`` bytes further on is in, and doubles ``known``.
+    suffix ``known`` bytes further on is in, and doubles ``known``.  A shard is
+    far below 2 GB, so places fit 32 bits.
     """
     n = len(text)
-    words = packed_words(text)
-    order = np.argsort(words)
-    slots = np.arange(n)
-    keys = words[order]
-    rank = np.zeros(n + 1, np.int64)  # a group's number is the place of its first member, plus one
+    keys = packed_words(text)
+    order = np.argsort(keys).astype(np.int32)
+    keys = keys[order]
+    slots = np.arange(n, dtype=np.int32)
+    rank = np.zeros(n + 1, np.int32)  # a group's number is the place of its first member, plus one
     known = 8
     while len(slots):
         opens = np.ones(len(slots), bool)
@@ -44,7 +45,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         if not len(slots):
             break
         members = order[slots]
-        keys = (rank[members] << 32) | rank[np.minimum(members + known, n)]
+        keys = rank[members].astype(np.int64)
+        keys <<= 32
+        keys |= rank[np.minimum(members.astype(np.int64) + known, n)]
         moved = np.argsort(keys)
         order[slots] = members[moved]
         keys = keys[moved]
@@ -60,20 +63,20 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray
     walked side by side.
     """
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
     words = np.concatenate([packed_words(text), np.zeros(cap + 16, np.uint64)])
     lanes = max(1, min(8192, n // 64))
     length = -(-n // lanes)
     starts = np.arange(0, n, length)
-    shared = np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int16)
     held = np.zeros(len(starts), np.int64)
     edges = np.uint64(1) << (np.uint64(8) * np.arange(1, 8, dtype=np.uint64))
     for step in range(length):
         here = starts + step
         here = here[here < n]
         held = np.maximum(held[: len(here)] - 1, 0)
-        other = before[here]
+        other = before[here].astype(np.int64)
         held[other < 0] = 0
         going = np.flatnonzero(other >= 0)
         while len(going):
@@ -85,9 +88,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray
             held[going] = np.minimum(at + np.minimum(equal, room), cap)
             going = going[(equal == 8) & (room > 8) & (at + 8 < cap)]
         shared[here] = held
-    prefixes = np.zeros(n, np.int64)
-    prefixes[:] = shared[order]
-    return prefixes
+    return shared[order]
 
 
 def window_groups(text: np.ndarray, order: np.ndarray, is_window: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,8 +103,8 @@ def window_groups(text: np.ndarray, order: np.ndarray, is_window: np.ndarray, ow
     least = np.minimum.reduceat(held, first)
     stands = order[first]
     real = is_window[stands]  # a window's whole group are windows: it holds no separator
-    number = np.where(real, np.cumsum(real) - 1, -1)
-    group = np.empty(len(text), np.int64)
+    number = np.where(real, np.cumsum(real) - 1, -1).astype(np.int32)
+    group = np.empty(len(text), np.int32)
     group[order] = np.repeat(number, np.diff(np.append(first, len(order))))
     return np.where(is_window, group, -1), stands[real], least[real]
 
