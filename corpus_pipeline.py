@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialwright.llm import mixing, packing, quality, repeats, simhash
+from dialwright.llm import mixing, packing, quality, repeats, similar_texts
 from dialwright.session import shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: the one with the smallest id."""
-    return simhash.one_of_each(docs, radius=3, shingle_words=3)
+    """One document of each group of texts that share at least 0.8 of their five-word shingles: the one with the smallest id."""
+    return similar_texts.one_of_each(docs, similarity=0.8, shingle_words=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
