@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from dialwright.llm.common import stored
 
-MAX_RATE = 1000.0
+#: A larger rate is drawn as the sum of equal parts, each at most this.
+PART_RATE = 1000.0
+#: Copies that one row makes at once; more come from several rows.
+BLOCK = 1000
 
 
 def uniform(*parts: Column) -> Column:
@@ -41,7 +44,10 @@ def poisson_cdf(rate: Column) -> Column:
 def source_rates(
     docs: DataFrame, weights: dict[str, float] | None, *, budget_rows: float | None = None, source: str = "source"
 ) -> DataFrame:
-    """``__source``, ``__rate`` and the distribution function ``__cdf`` per source.
+    """``__source``, ``__parts``, and ``__rate`` and distribution function ``__cdf`` of each part, per source.
+
+    A sum of independent Poisson draws is a Poisson draw of the summed rate, so
+    a rate above ``PART_RATE`` is cut into ``__parts`` equal ones.
 
     ``weights`` are shares of the result (any scale); a source not named gets
     none.  Without weights all sources count alike.  ``budget_rows`` is the
@@ -59,8 +65,8 @@ def source_rates(
     total = held.agg(F.sum("weight").alias("w"), F.sum("n").alias("n")).first()
     budget = float(budget_rows if budget_rows is not None else total["n"] or 0)
     rate = F.col("weight") / F.lit(float(total["w"] or 1)) * F.lit(budget) / F.col("n")
-    checked = F.when(rate <= MAX_RATE, rate).otherwise(F.raise_error(F.lit(f"a source's rate is over {MAX_RATE}")).cast("double"))
-    rated = held.select("__source", checked.alias("__rate"))
+    parts = F.greatest(F.ceil(rate / PART_RATE), F.lit(1).cast("long"))
+    rated = held.select("__source", parts.alias("__parts"), (rate / parts).alias("__rate"))
     return rated.withColumn("__cdf", F.when(F.col("__rate") > 0, poisson_cdf(F.col("__rate"))))
 
 
@@ -86,10 +92,30 @@ def mix(
     """
     rates = stored(source_rates(docs, weights, budget_rows=budget_rows, source=source), "source-rates")
     keyed = docs.withColumn("__source", F.coalesce(F.col(source), F.lit("\0")))
-    drawn = keyed.join(rates, "__source").withColumn("__u", uniform(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    count = F.when(F.col("__rate") > 0, F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))).otherwise(0)
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    drawn = keyed.join(rates, "__source").withColumn("__u", uniform(F.lit(seed), name))
+
+    def quantile(u: Column) -> Column:
+        return F.size(F.filter("__cdf", lambda c: c <= u))
+
+    # The first part's number is that of a rate without parts.
+    others = F.sequence(F.lit(1).cast("long"), F.col("__parts") - 1)
+    summed = F.aggregate(others, quantile(F.col("__u")), lambda n, i: n + quantile(uniform(F.lit(seed), name, i)))
+    count = F.when(F.col("__rate") > 0, F.when(F.col("__parts") > 1, summed).otherwise(quantile(F.col("__u")))).otherwise(0)
     # A separate column first: copies are made of the kept columns only.
-    counted = drawn.withColumn("__n", count).where("__n > 0").drop("__source", "__rate", "__cdf", "__u", "copy", "shuffle_key")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    spare = ["__source", "__parts", "__rate", "__cdf", "__u", "copy", "shuffle_key"]
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__n", count).where("__n > 0").drop(*spare)
+
+    if rates.where("__parts > 1").isEmpty():
+        copies = counted(drawn).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    else:
+        few = counted(drawn.where("__parts = 1")).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+        # One document's blocks of copies go to different tasks.
+        blocks = counted(drawn.where("__parts > 1")).withColumn("__from", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(BLOCK))))
+        dealt = blocks.repartition(F.xxhash64(name, "__from"))
+        last = F.least(F.col("__from") + (BLOCK - 1), F.col("__n") - 1)
+        copies = few.union(dealt.withColumn("copy", F.explode(F.sequence("__from", last))).drop("__n", "__from"))
     place = F.md5(F.concat_ws(":", F.lit(seed + 1), F.coalesce(F.col(key).cast("string"), F.lit("")), "copy"))
     return copies.withColumn("shuffle_key", place).repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")

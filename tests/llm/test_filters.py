@@ -112,6 +112,30 @@ def test_mixing_defaults_to_equal_shares(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_repeats_a_rare_source_as_often_as_its_share_asks(spark):
+    n = 9000
+    docs = spark.range(n).selectExpr("id as doc_id", "if(id = 5, null, if(id = 6, 'rare', 'common')) as source")
+    mixed = mixing.mix(docs, seed=7).cache()
+
+    def u(*parts):
+        return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 2**52
+
+    def quantile(rate, at):
+        k, total = 0, math.exp(-rate)
+        while total <= at:
+            k += 1
+            total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        return k
+
+    for key in (5, 6):
+        want = sum(quantile(n / 9, u(7, key, *([i] if i else []))) for i in range(3))
+        copies = sorted(r.copy for r in mixed.where(f"doc_id = {key}").collect())
+        assert copies == list(range(want)) and abs(want - n / 3) < 300
+    assert mixed.where("source = 'common'").count() > 2700
+    keys = [r.shuffle_key for r in mixed.collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
 RULES = [Rule("allow", "org", "/"), Rule("block", "a.org", "/x/"), Rule("allow", "a.org", "/x/y"), Rule("block", "com", "/de/")]
 URLS = [
     None, "", "no scheme", "http://", "HTTP://A.Org/x/1", "https://www.a.org/x/y/2?q=1", "http://b.org", "http://b.org/", "http://xa.org/x/",
