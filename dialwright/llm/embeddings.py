@@ -6,14 +6,20 @@ share long prefixes and stand close together, so each is compared with the
 ``window`` that follow it.  Passes use other projections; the union of their
 verified pairs gives the groups.
 
-Two things make this whole.  Equal vectors are one class from the start.  And
-the windows only have to *connect* a group: all links inside a group are then
-counted exactly, tile by tile, however many members it has.
+Three things make this whole.  Equal vectors are one class from the start.
+Vectors that share a key's first bits are a range; a range that is longer than
+the window, as in a dense cluster, is compared whole in tiles.  So two vectors
+are compared whenever they share a range in any pass, and the number of passes
+follows the number of rows (:func:`passes_for`).  And windows and ranges only
+have to *connect* a group: all links inside a group are then counted exactly,
+tile by tile, however many members it has.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +27,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialwright.llm.common import prepare, runs, stored
+from dialwright.llm.common import drop_stored, prepare, runs, stored
 from dialwright.llm.graph import components
 
 KEY_BITS = 62
+#: Largest chance that a lone pair at the threshold is in no common range of any pass.
+MISS = 0.005
+LEAST_PASSES = 16
+#: Passes whose sorted vectors are on disk at the same time.
+ROUND = 16
+
+
+def range_bits(n: int, window: int) -> int:
+    """Leading key bits that cut ``n`` evenly spread vectors into ranges of half a window or less."""
+    return min(KEY_BITS, max(0, math.ceil(math.log2(2 * max(n, 1) / window))))
+
+
+def passes_for(n: int, window: int, threshold: float) -> int:
+    """Passes after which two vectors at the threshold lack a common range with probability ``MISS`` at most."""
+    shared = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** range_bits(n, window)
+    return LEAST_PASSES if shared >= 1 else max(LEAST_PASSES, math.ceil(math.log(MISS) / math.log1p(-shared)))
 
 
 def unit_rows(vectors: list[bytes], dtype: str) -> np.ndarray:
@@ -61,8 +83,8 @@ def usable_vectors(vectors: DataFrame, key: str, embedding: str) -> DataFrame:
     return source.mapInArrow(pack, "id long, vec binary")
 
 
-def _sorted_by_pass(classes: DataFrame, dtype: str, passes: int, seed: int) -> DataFrame:
-    """Every vector once per pass, with its ``rank`` in the order of (dimension, pass, key)."""
+def _sorted_by_pass(classes: DataFrame, dtype: str, passes: range, bits: int, seed: int) -> DataFrame:
+    """Every vector once per pass, with its place in the order of (dimension, pass, key) and its ``range`` of ``bits`` bits."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = (1 << np.arange(KEY_BITS, dtype=np.int64))[::-1]
@@ -74,15 +96,16 @@ def _sorted_by_pass(classes: DataFrame, dtype: str, passes: int, seed: int) -> D
                 rows = np.flatnonzero(sizes == size)
                 units = unit_rows([packed[i] for i in rows], dtype)
                 if size not in planes:
-                    random = np.random.default_rng([seed, int(size)])
-                    planes[size] = random.standard_normal((units.shape[1], passes * KEY_BITS))
-                signs = (units @ planes[size] > 0).reshape(len(rows), passes, KEY_BITS)
+                    planes[size] = np.hstack(
+                        [np.random.default_rng([seed, int(size), p]).standard_normal((units.shape[1], KEY_BITS)) for p in passes]
+                    )
+                signs = (units @ planes[size] > 0).reshape(len(rows), len(passes), KEY_BITS)
                 keys = signs @ weights
                 some = batch.take(pa.array(rows))
-                for p in range(passes):
+                for p in range(len(passes)):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(rows), int(size) * passes + p)),
+                            pa.array(np.full(len(rows), int(size) * len(passes) + p)),
                             pa.array(keys[:, p]),
                             some.column("rep"),
                             some.column("vec"),
@@ -97,8 +120,15 @@ def _sorted_by_pass(classes: DataFrame, dtype: str, passes: int, seed: int) -> D
         for batch in batches:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, part)), pa.array(np.arange(at, at + n)), batch.column("rep"), batch.column("vec")],
-                names=["part", "at", "rep", "vec"],
+                [
+                    pa.array(np.full(n, part)),
+                    pa.array(np.arange(at, at + n)),
+                    batch.column("pass"),
+                    pa.array(batch.column("key").to_numpy() >> (KEY_BITS - bits)),
+                    batch.column("rep"),
+                    batch.column("vec"),
+                ],
+                names=["part", "at", "pass", "range", "rep", "vec"],
             )
             at += n
 
@@ -109,7 +139,13 @@ def _sorted_by_pass(classes: DataFrame, dtype: str, passes: int, seed: int) -> D
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
-    held = stored(ordered.mapInArrow(placed, "part long, at long, rep long, vec binary"), "sorted-passes")
+    return stored(
+        ordered.mapInArrow(placed, "part long, at long, pass long, range long, rep long, vec binary"), "sorted-passes"
+    )
+
+
+def _ranked(held: DataFrame) -> DataFrame:
+    """Sorted vectors with their ``rank`` over all partitions."""
     # One row per partition; partitions follow each other in key order.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = held.groupBy("part").agg(F.count("*").alias("n"))
@@ -131,16 +167,14 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return label
 
 
-def linked_in_windows(
-    classes: DataFrame, dtype: str, *, threshold: float, passes: int, window: int, block: int, seed: int
-) -> DataFrame:
+def linked_in_windows(held: DataFrame, dtype: str, *, threshold: float, window: int, block: int) -> DataFrame:
     """Edges ``a``, ``b`` between class representatives that a window verified.
 
     Blocks of ``block`` ranks, with the next ``window`` ranks behind them, are
     compared in a task each, so nothing depends on where Spark cuts its
     partitions.  A block returns a spanning forest of its links.
     """
-    ranked = _sorted_by_pass(classes, dtype, passes, seed)
+    ranked = _ranked(held)
     own = F.floor(F.col("rank") / block).cast("long")
     # The first rows of a block also close the windows of the block before.
     also = F.when((F.col("rank") % block < window) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
@@ -173,6 +207,49 @@ def linked_in_windows(
     return rows.mapInArrow(compare, "a long, b long")
 
 
+def linked_in_ranges(held: DataFrame, dtype: str, *, threshold: float, window: int, tile: int) -> DataFrame:
+    """Edges ``a``, ``b`` that connect all links inside the ranges that are longer than a window.
+
+    Any two vectors of a shorter range are in one window.  A longer range is
+    dealt into parts and every two parts meet in one task, as in
+    :func:`links_in_groups`.
+    """
+    sizes = held.groupBy("pass", "range").agg(F.count("*").alias("n")).where(F.col("n") > window)
+    dealt = (
+        held.select("pass", "range", "rep", "vec")
+        .join(sizes, ["pass", "range"])
+        .withColumn("parts", F.ceil(F.col("n") / tile))
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    )
+    order = ["pass", "range", "low", "high"]
+    rows = dealt.select("pass", "range", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "vec")
+    named = rows.withColumn("tile", F.xxhash64(*order)).repartition("tile").sortWithinPartitions("tile", *order)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, "tile", *order):
+            reps, own = (group.column(c).to_numpy() for c in ("rep", "own"))
+            # A pass has vectors of one length only.
+            units = unit_rows(group.column("vec").to_pylist(), dtype)
+            mixed = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+            lefts, rights = [], []
+            for start in range(0, len(units), 512):
+                near = units[start : start + 512] @ units.T >= threshold
+                if mixed:
+                    near &= own[start : start + 512, None] != own[None, :]
+                i, j = np.nonzero(near)
+                i, j = start + i[j > start + i], j[j > start + i]
+                label = forest(len(reps), i, j)
+                moved = np.flatnonzero(label != np.arange(len(label)))
+                lefts.append(moved)
+                rights.append(label[moved])
+            label = forest(len(reps), np.concatenate(lefts), np.concatenate(rights))
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays([pa.array(reps[moved]), pa.array(reps[label[moved]])], names=["a", "b"])
+
+    return named.mapInArrow(compare, "a long, b long")
+
+
 def links_in_groups(members: DataFrame, dtype: str, *, threshold: float, tile: int = 2048) -> DataFrame:
     """``rep`` and ``links``: vectors of other classes linked to it, counted over its whole group.
 
@@ -228,7 +305,7 @@ def near_duplicates(
     vectors: DataFrame,
     *,
     threshold: float = 0.9,
-    passes: int = 16,
+    passes: int | None = None,
     window: int = 256,
     block: int = 2048,
     seed: int = 11,
@@ -240,9 +317,10 @@ def near_duplicates(
     Links are pairs with a cosine of at least ``threshold``, in double
     precision, between vectors of the same length.  Every link returned or
     counted is verified, and all links between members of one group are counted.
-    A link is missed only if no chain of windows in any pass joins its two
-    groups: two vectors at the threshold share a bit with probability
-    1 - angle / pi, so the chance falls as a power of ``passes``.
+    A link is missed only if no chain of windows and ranges in any pass joins
+    its two groups.  Without ``passes`` their number follows the rows, so that a
+    lone pair at the threshold is missed with a probability of ``MISS`` at most,
+    however many rows there are and however dense they lie around it.
 
     Null, zero or non-finite vectors and rows without a key link with nothing:
     ``n_links`` 0 and their own group.  A repeated row is a further vector; different
@@ -257,9 +335,17 @@ def near_duplicates(
     classes = stored(
         usable.groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "vector-classes"
     )
-    edges = linked_in_windows(
-        classes, dtype, threshold=threshold, passes=passes, window=window, block=block, seed=seed
-    )
+    n = classes.count()
+    bits = range_bits(n, window)
+    total = passes_for(n, window, threshold) if passes is None else passes
+    found = []
+    for first in range(0, total, ROUND):
+        held = _sorted_by_pass(classes, dtype, range(first, min(first + ROUND, total)), bits, seed)
+        in_windows = linked_in_windows(held, dtype, threshold=threshold, window=window, block=block)
+        in_ranges = linked_in_ranges(held, dtype, threshold=threshold, window=window, tile=block)
+        found.append(stored(in_windows.union(in_ranges), "pass-links"))
+        drop_stored(spark, held)
+    edges = reduce(DataFrame.union, found)
     groups = components(edges)
     members = classes.join(groups.withColumnRenamed("node", "rep"), "rep")
     counted = links_in_groups(members, dtype, threshold=threshold)
