@@ -432,7 +432,7 @@ def room_code(number: Column | str) -> Column:
     special = (
         F.when(number == 0, "Foyer")
         .when(number == 1, "SUM")
-        .when(number % 10 == 2, F.concat(F.lit("RS1"), (number % 7).cast("string"), F.lit("-Aula")))
+        .when(number % 10 == 2, F.concat(F.lit("Aula "), (number % 7).cast("string")))
         .when(number % 10 == 3, F.concat(base, F.lit("-Comodal")))
         .otherwise(base)
     )
@@ -440,7 +440,7 @@ def room_code(number: Column | str) -> Column:
 
 
 ROOM_CODE_SQL = """'HQ-1.' || CASE WHEN n = 0 THEN 'Foyer' WHEN n = 1 THEN 'SUM'
-       WHEN n % 10 = 2 THEN 'RS1' || (n % 7) || '-Aula'
+       WHEN n % 10 = 2 THEN 'Aula ' || (n % 7)
        ELSE substr('NSEW', n % 4 + 1, 1) || ((n // 4) % 5) || lpad(CAST(n AS VARCHAR), 2, '0')
             || CASE WHEN n % 10 = 3 THEN '-Comodal' ELSE '' END END"""
 

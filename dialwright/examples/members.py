@@ -46,7 +46,7 @@ def status_dimension(spark, sf_dir):
 
 @query(
     "site_dimension",
-    """SELECT * FROM (VALUES ('East', 'Site East: metadata to be completed', false, NULL, NULL, NULL, 'CH'),
+    """SELECT * FROM (VALUES ('East', 'Station East', false, NULL, NULL, NULL, 'CH'),
          ('Middle', 'Average of the two coast stations', true, 56.4, 10.9, 21, 'CH'),
          ('North', 'Lighthouse mast', false, 57.1, 9.2, 33, 'DK'),
          ('South', 'Harbour mast', false, 55.7, 12.6, 9, 'DK'))
@@ -70,7 +70,7 @@ def site_dimension(spark, sf_dir):
          ELSE 'Unknown' END AS category,
        CASE m WHEN 'PRED_GLOB_ctrl' THEN 'Watt/m2' WHEN 'PRED_T_2M_ctrl' THEN '°C'
          WHEN 'PRED_RELHUM_2M_ctrl' THEN 'Percent' WHEN 'PRED_TOT_PREC_ctrl' THEN 'Kg/m2' ELSE 'x' END AS unit,
-       'Automatically inserted — description to be completed.' AS description,
+       'New code found in the data.' AS description,
        m = 'PRED_GLOB_ctrl' AS is_production_driver
        FROM (SELECT DISTINCT "Measurement" AS m FROM {raw_forecasts})""",
 )

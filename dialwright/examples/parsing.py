@@ -114,12 +114,9 @@ def mask_people(spark, sf_dir):
 
 @query(
     "parse_codes",
-    """SELECT booking_id, room_code, wing, floor, room_number, room_type FROM (
-         SELECT booking_id, 'HQ-1.' || CASE WHEN n = 0 THEN 'Foyer' WHEN n = 1 THEN 'SUM'
-           WHEN n % 10 = 2 THEN 'RS7' || (n % 7) || '-Aula'
-           ELSE substr('NSEW', n % 4 + 1, 1) || ((n // 4) % 5) || lpad(CAST(n AS VARCHAR), 2, '0')
-             || CASE WHEN n % 10 = 3 THEN '-Comodal' ELSE '' END END AS room_code
-         FROM (SELECT booking_id, room_no AS n FROM {bookings})) JOIN {room_dim} USING (room_code)""",
+    f"""SELECT booking_id, room_code, wing, floor, room_number, room_type FROM (
+         SELECT booking_id, {base.ROOM_CODE_SQL} AS room_code
+         FROM (SELECT booking_id, room_no AS n FROM {{bookings}})) JOIN {{room_dim}} USING (room_code)""",
 )
 def parse_codes(spark, sf_dir):
     rows = base.bookings(spark, sf_dir).select("booking_id", base.room_code("room_no").alias("room_code"))

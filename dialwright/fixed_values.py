@@ -90,7 +90,7 @@ GBT_LEARNING_RATE = 0.1
 GBT_DEPTH = 5
 
 # Description of a measure type that nobody has described yet.
-MEASURE_DESCRIPTION = "Automatically inserted — description to be completed."
+MEASURE_DESCRIPTION = "New code found in the data."
 
 # Country of a weather site whose metadata names none.
 DEFAULT_COUNTRY = "CH"

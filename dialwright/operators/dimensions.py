@@ -119,7 +119,7 @@ def load_sites(
         meta,
         "site_name",
         {
-            "site_description": F.concat(F.lit("Site "), F.col("site_name"), F.lit(": metadata to be completed")),
+            "site_description": F.concat(F.lit("Station "), F.col("site_name")),
             "is_synthetic": F.lit(False),
             "latitude": F.lit(None).cast("double"),
             "longitude": F.lit(None).cast("double"),
