@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import embeddings, mixing, packing, quality, repeats, simhash, token_counts, token_files, url_filter, warc
+from dialwright.llm import embeddings, mixing, mixture_packing, packing, quality, repeats, simhash, token_counts, token_files, url_filter, warc
 from dialwright.llm.common import table
 from dialwright.session import shared_dir
 
@@ -148,3 +148,9 @@ def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One record in about 500 of the second replica has a bit turned, to be found.
     pages = table(spark, sf_dir, "pages")
     return warc.fixity_audit(pages, shared_dir(spark, "warc"), damage_every=500)
+
+
+@query("op11_mixture_packing")
+def op11_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return mixture_packing.pack_mixture(table(spark, sf_dir, "documents"), path, capacity=4096, end_id=2)

@@ -1,129 +1,246 @@
 """Whole texts to token ids with a byte-level BPE of the tokenizers library.
 
 The library spends most of its time on taking texts apart, and most words of a
-corpus come again and again.  So ids are remembered per word with the space
-before it, and only new words go to the library, a lot at a time.  Texts are cut
-only where the library's pre-tokenizer always cuts: before a single space and
-around a single newline.  A text with any other white space, or one that holds
-an added token's string, goes to the library whole.
+corpus come again and again.  So texts are cut into words by Arrow, ids are
+remembered per word, and only new words are encoded, a lot at a time.  Texts are
+cut only where the library's pre-tokenizer always cuts:
+
+* vocabularies that keep white space: before a single space and around a single
+  newline; a text with any other white space goes to the library whole;
+* vocabularies that drop white space: at ASCII white space.
+
+A text that holds an added token's string goes to the library whole, too.  New
+words of letters are merged by tiktoken with the merges of the same file, other
+words by the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
+import unicodedata
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _ENCODERS: dict[str, WordEncoder] = {}
-# White space other than single spaces and newlines between words.
-_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+# White space of Unicode other than the space and the newline.
+_OTHER_SPACE = r"[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_ODD = _OTHER_SPACE + r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+_MARK = "\x00"  # stands for the end of a word; no word of letters holds it
+
+
+def _alphabet() -> dict[str, int]:
+    """How byte-level vocabularies write a byte: printable ones as themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class Merger:
+    """Ids of pieces that the pre-tokenizer leaves whole, by the merges of a tokenizer file.
+
+    A merge's rank is its place in the file.  Where the vocabulary marks the end
+    of a word, a byte and the mark after it merge before anything else.
+    """
+
+    def __init__(self, model: dict) -> None:
+        import tiktoken
+
+        vocabulary, suffix, byte = model["vocab"], model["end_of_word_suffix"] or "", _alphabet()
+        self.mark = _MARK if suffix else ""
+
+        def raw(token: str) -> bytes:
+            closed = bool(suffix) and token.endswith(suffix)
+            body = token[: -len(suffix)] if closed else token
+            return bytes(byte[c] for c in body) + (self.mark.encode() if closed else b"")
+
+        made = ["".join(pair.split(" ") if isinstance(pair, str) else pair) for pair in model["merges"]]
+        closed_bytes = [c + suffix for c in byte] if suffix else []
+        tokens = [*closed_bytes, *made, *byte]
+        ranks: dict[bytes, int] = {}
+        for rank, token in enumerate(tokens):
+            ranks.setdefault(raw(token), rank)
+        self.id_of = np.array([vocabulary[t] for t in tokens], np.uint32)
+        newline = b"\n"
+        self.newline = ranks[newline]
+        self.tool = tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and their number per word; no word is empty or holds a newline."""
+        text = f"{self.mark}\n".join(words) + f"{self.mark}\n"
+        ranks = np.array(self.tool.encode_ordinary(text), np.int64)
+        between = ranks == self.newline
+        return self.id_of[ranks[~between]], np.diff(np.flatnonzero(between), prepend=-1) - 1
+
+
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The stretches ``flat[start : start + length]`` one after another."""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(start - (ends - length), length)]
+
+
+class _Memory:
+    """Ids of words: a place per word in one flat array."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        self.start = np.zeros(1 << 14, np.int64)
+        self.length = np.zeros(1 << 14, np.int64)
+
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        have, need = len(self.place), self.used + len(ids)
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(need, np.uint32)])
+        self.flat[self.used : need] = ids
+        if have + len(words) > len(self.start):
+            more = np.zeros(have + len(words), np.int64)
+            self.start, self.length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
+        self.start[have : have + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.length[have : have + len(words)] = lengths
+        self.used = need
+        self.place.update(zip(words, range(have, have + len(words)), strict=True))
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words one after another, and their number per word."""
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return _gathered(self.flat, self.start[at], self.length[at]), self.length[at]
 
 
 class WordEncoder:
     """Ids of texts, equal to ``encode(text, add_special_tokens=False).ids`` of the library.
 
-    ``kept_words`` bounds what a worker remembers; a full memory starts afresh,
-    so the bound changes time, not results.
+    A worker remembers at most about twice ``kept_words`` words in two
+    generations: when the young one is full it becomes the old one, and words
+    met again move on.  Words in use survive; the bound changes time, not results.
     """
 
-    def __init__(self, path: str, kept_words: int = 250_000) -> None:
+    def __init__(self, path: str, kept_words: int = 200_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept_words = kept_words
-        self.model = self.tokenizer.model
-        self.written: dict[str, str] = {}  # how the model's alphabet writes a character
+        self.drops_space = not self._library(["\n"])[0]
+        self.folds = self._library(["A"]) == self._library(["a"])
+        self.merger = Merger(model)
+        self.young, self.old = _Memory(), _Memory()
         self.cuts = self._cuts_hold()
-        self._forget()
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cuts_hold(self) -> bool:
-        """Whether this tokenizer takes words with their leading space and newlines one by one."""
+        """Whether this tokenizer takes words one by one, with the space before them where it keeps that."""
         words = ["ab", " cd", "\n", "Ef", " it's", " x1,", "\n", "éè", " --", " Straße."]
         whole = self._library(["".join(words)])[0]
-        return whole == sum(self._library(words), []) and whole == sum(self._word_ids(words), [])
-
-    def _letters(self, word: str) -> list[int]:
-        """Ids of a run of letters, with or without a space before it: one unit for the pre-tokenizer."""
-        written = self.written
-        for char in word:
-            if char not in written:
-                written[char] = "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(char))
-        return [token.id for token in self.model.tokenize("".join([written[char] for char in word]))]
-
-    def _word_ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of words; those of letters, or letters and one closing mark, go straight to the library's model."""
-        found: list[list[int] | None] = []
+        if self.drops_space:
+            words = [w.strip() for w in words if w != "\n"]
+        memory = _Memory()
+        self._learn(memory, list(dict.fromkeys(words)))
+        return whole == sum(self._library(words), []) and whole == memory.ids(words)[0].tolist()
+
+    def _letters(self, word: str) -> str | None:
+        """The word as the merges see it if it is one piece for the pre-tokenizer, else None."""
+        if not self.drops_space:
+            return word if word.isalpha() or word[:1] == " " and word[1:].isalpha() else None
+        if self.folds:
+            if "Σ" in word:  # the only letter that lower-cases by its place
+                return None
+            word = word.lower()
+        return word if word.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word)) else None
+
+    def _learn(self, memory: _Memory, words: list[str]) -> None:
+        """Put new words into the memory.
+
+        Letters, and letters with one closing mark, are merged here; the library
+        takes the rest, and an empty part stands for a newline.
+        """
+        simple: list[str] = []
+        pieces: list[str] = []
+        first: list[int] = []  # where a simple word's pieces start
+        others: list[str] = []
         for word in words:
-            if word.lstrip(" ").isalpha():
-                found.append(self._letters(word))
-            elif word[-1:] in (".", ",") and word[:-1].lstrip(" ").isalpha():
-                found.append(self._letters(word[:-1]) + self._letters(word[-1]))
-            else:
-                found.append(None)
-        others = iter(self._library([w for w, ids in zip(words, found, strict=True) if ids is None]))
-        return [next(others) if ids is None else ids for ids in found]
-
-    def _forget(self) -> None:
-        newline = self._library(["\n"])[0]
-        self.place: dict[str, int] = {"": 0}  # between two lines stands an empty part: the newline
-        self.flat = np.array(newline, np.uint32)
-        self.used = len(newline)
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-        self.length[0] = len(newline)
-
-    def _learn(self, words: list[str]) -> None:
-        found = self._word_ids(words)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        have, need = len(self.place), self.used + int(lengths.sum())
-        if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(need, np.uint32)])
-        self.flat[self.used : need] = [i for ids in found for i in ids]
-        if have + len(words) > len(self.start):
-            more = np.zeros(have + len(words), np.int64)
-            self.start, self.length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
-        self.start[have : have + len(words)] = self.used + np.cumsum(lengths) - lengths
-        self.length[have : have + len(words)] = lengths
-        self.used = need
-        self.place.update(zip(words, range(have, have + len(words)), strict=True))
+            closed = word[-1:] in (".", ",") and len(word) > 1
+            letters = self._letters(word[:-1] if closed else word)
+            if letters is None:
+                others.append(word)
+                continue
+            simple.append(word)
+            first.append(len(pieces))
+            pieces.append(letters)
+            if closed:
+                pieces.append(word[-1])
+        if simple:
+            ids, lengths = self.merger.ids(pieces)
+            memory.add(simple, ids, np.add.reduceat(lengths, first))
+        if others:
+            found = self._library([w or "\n" for w in others])
+            memory.add(others, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found]))
 
-    def _by_words(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.place) > self.kept_words:
-            self._forget()
-        parts: list[str] = []
-        counts = []
-        for text in texts:
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The place of each of these distinct words in the young memory, where they are put first if need be."""
+        if len(self.young.place) > self.kept_words:
+            self.young, self.old = _Memory(), self.young
+        place, old = self.young.place, self.old.place
+        absent = [w for w in words if w not in place]
+        known = [w for w in absent if w in old]
+        if known:
+            self.young.add(known, *self.old.ids(known))
+        new = [w for w in absent if w not in old] if known else absent
+        for i in range(0, len(new), 1 << 14):
+            self._learn(self.young, new[i : i + (1 << 14)])
+        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+
+    def _by_words(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if self.drops_space:
+            parts = pc.ascii_split_whitespace(texts)
+            flat = parts.flatten()
+            keep = pc.not_equal(flat, "")  # white space at an end leaves an empty part
+            sizes = np.add.reduceat(
+                np.append(keep.to_numpy(zero_copy_only=False).astype(np.int64), 0),
+                parts.offsets.to_numpy()[:-1],
+            )
+            flat = flat.filter(keep)
+        else:
             # A doubled newline leaves the empty part that stands for it.
-            own = text.replace("\n", "\n\n").replace(" ", "\n ").split("\n")
-            parts += own
-            counts.append(len(own))
-        at = np.fromiter(map(self.place.get, parts, repeat(-1)), np.int64, len(parts))
-        unknown = np.flatnonzero(at < 0).tolist()
-        if unknown:
-            self._learn(list(dict.fromkeys([parts[i] for i in unknown])))
-            at[unknown] = [self.place[parts[i]] for i in unknown]
-        length = self.length[at]
-        ends = np.cumsum(length)
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - (ends - length), length)]
-        return iter(np.split(ids, ends[np.cumsum(counts)[:-1] - 1]))
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+            doubled = pc.replace_substring(texts, "\n", "\n\n")
+            parts = pc.split_pattern(pc.replace_substring(doubled, " ", "\n "), "\n")
+            flat = parts.flatten()
+            sizes = np.diff(parts.offsets.to_numpy())
+        coded = flat.dictionary_encode()
+        places = self._places(coded.dictionary.to_pylist())
+        at = places[coded.indices.to_numpy(zero_copy_only=False)]
+        length = self.young.length[at]
+        ids = _gathered(self.young.flat, self.young.start[at], length)
+        text_ends = np.append(0, np.cumsum(length))[np.cumsum(sizes)]
+        return iter(np.split(ids, text_ends[:-1]))
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as uint32."""
-        plain = [
-            bool(t) and self.cuts and not _ODD.search(t) and not any(a in t for a in self.added) for t in texts
-        ]
-        cut = self._by_words([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else iter(())
-        whole = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
-        for p in plain:
-            yield next(cut) if p else np.array(next(whole), np.uint32)
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        whole = pc.equal(texts, "")
+        if not self.cuts:
+            whole = pc.or_(whole, True)
+        elif self.drops_space:
+            whole = pc.or_(whole, pc.invert(pc.match_substring_regex(texts, r"[^ \t\n\x0B\f\r]")))
+        else:
+            whole = pc.or_(whole, pc.match_substring_regex(texts, _ODD))
+        for token in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        rest = iter(self._library(texts.filter(whole).to_pylist()))
+        plain = texts.filter(pc.invert(whole))
+        cut = self._by_words(plain) if len(plain) else iter(())
+        for is_whole in whole.to_pylist():
+            yield np.array(next(rest), np.uint32) if is_whole else next(cut)
 
 
 def encoder(path: str) -> WordEncoder:
@@ -133,22 +250,22 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def encoded(path: str, texts: list[str | None], end_id: int, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
+def encoded(path: str, texts: pa.Array, end_id: int, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
     """Each text's ids and the end id, as little-endian uint32; a null text is empty.
 
-    Texts are handled in lots of about ``at_once`` characters, so memory follows
-    one lot or one long text.
+    Texts are handled in lots of about ``at_once`` bytes, so memory follows one
+    lot or one long text.
     """
     tool = encoder(path)
-    lot: list[str] = []
-    size = 0
-    for i, text in enumerate(texts):
-        lot.append(text or "")
-        size += len(lot[-1])
-        if size >= at_once or i == len(texts) - 1:
-            for found in tool.encode(lot):
-                ids = np.empty(len(found) + 1, "<u4")
-                ids[:-1] = found
-                ids[-1] = end_id
-                yield ids
-            lot, size = [], 0
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + at_once, side="right")))
+        for found in tool.encode(texts.slice(start, stop - start)):
+            ids = np.empty(len(found) + 1, "<u4")
+            ids[:-1] = found
+            ids[-1] = end_id
+            yield ids
+        start = stop

@@ -44,7 +44,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for i, ids in enumerate(encoded(tokenizer_path, batch.column("__text").to_pylist(), end_id)):
+            for i, ids in enumerate(encoded(tokenizer_path, batch.column("__text"), end_id)):
                 first = len(ids) % capacity or capacity
                 starts = [0, *range(first, len(ids), capacity)]
                 for piece, start in enumerate(starts):

@@ -121,7 +121,7 @@ def write_token_files(
                 out = store.open_output_stream(f"{path}/{name}", buffer_size=1 << 20)
             rows = []
             keys = batch.column("key").to_pylist()
-            for number, ids in zip(keys, encoded(tokenizer_path, batch.column("__text").to_pylist(), end_id), strict=True):
+            for number, ids in zip(keys, encoded(tokenizer_path, batch.column("__text"), end_id), strict=True):
                 data = token_record(number, tokens, ids)
                 out.write(data)
                 rows.append((number, name, position, len(data), len(ids)))
