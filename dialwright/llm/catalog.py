@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import embeddings, mixing, mixture_packing, packing, quality, repeats, simhash, token_counts, token_files, url_filter, warc
+from dialwright.llm import embeddings, filter_audit, mixing, mixture_packing, packing, quality, repeats, simhash, token_counts, token_files, url_filter, warc
 from dialwright.llm.common import table
 from dialwright.session import shared_dir
 
@@ -154,3 +154,47 @@ def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return mixture_packing.pack_mixture(table(spark, sf_dir, "documents"), path, capacity=4096, end_id=2)
+
+
+_AUDIT_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+firsts AS (SELECT t, min(doc_id) AS first FROM texts GROUP BY t),
+flags AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+    (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+  FROM texts JOIN firsts USING (t) LEFT JOIN flags USING (doc_id)
+),
+letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+prefixes AS (
+  SELECT '' AS filter_order UNION ALL
+  SELECT filter_order || letter FROM prefixes, letters WHERE strpos(filter_order, letter) = 0
+),
+steps AS (
+  SELECT filter_order, step::INT AS step, letter, bit,
+    (SELECT coalesce(sum(l.bit), 0)::INT FROM letters l WHERE strpos(substr(filter_order, 1, step - 1), l.letter) > 0) AS applied
+  FROM prefixes, generate_series(1, 5) g(step), letters
+  WHERE length(filter_order) = 5 AND substr(filter_order, step, 1) = letter
+),
+counts AS (
+  SELECT part, filter_order, step, letter,
+    count(*) FILTER (mask & applied = 0 AND mask & bit = 0) AS kept,
+    count(*) FILTER (mask & applied = 0 AND mask & bit <> 0) AS removed,
+    count(*) FILTER (mask & applied <> 0 AND mask & bit <> 0) AS redundant,
+    count(*) FILTER (mask = bit) AS unique_fails,
+    count(*) FILTER (mask & applied = 0 AND mask & bit <> 0 AND good) AS good_lost,
+    count(*) FILTER (mask & applied = 0 AND mask & bit <> 0 AND toxic) AS toxic_lost
+  FROM masks, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM counts
+"""
+
+
+@query("op12_filter_audit", _AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
