@@ -27,7 +27,7 @@ def forecasts(spark, sf_dir):
 
 
 def weather(spark, sf_dir, fill="last"):
-    return features.weather_features(forecasts(spark, sf_dir), fill=fill, bucket_minutes=1440)
+    return features.weather_features(forecasts(spark, sf_dir), fill=fill)
 
 
 cte(

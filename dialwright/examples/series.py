@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dialwright.examples import base
 from dialwright.examples.registry import cte, query
 from dialwright.functions.keys import date_key, floor_minutes
-from dialwright.operators import aggregates, timeseries
+from dialwright.operators import aggregates, scans, timeseries
 from dialwright.operators.reshape import time_grid
 
 
@@ -28,6 +28,41 @@ def meter_delta(spark, sf_dir):
     return timeseries.meter_delta(rows, ["user_id"], "ts", "reading", tie=["event_id"]).drop("ts")
 
 
+HOT_SEGMENTS = 24
+
+cte(
+    "hot_readings",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS series,
+       CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-10 12:00:00' + to_seconds(event_id // 3 % 3600) ELSE ts END AS ts,
+       reading FROM {user_readings}""",
+)
+
+
+@query(
+    "hot_series_delta",
+    """SELECT event_id, CASE WHEN reading >= lag(reading) OVER w THEN reading - lag(reading) OVER w END AS delta,
+       last_value(CASE WHEN reading % 3 <> 0 THEN reading END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS carried,
+       true AS balanced
+       FROM {hot_readings} WINDOW w AS (PARTITION BY series ORDER BY ts, event_id)""",
+)
+def hot_series_delta(spark, sf_dir):
+    """A third of all readings in one series inside one hour; no segment holds three times the median."""
+    hot = F.col("event_id") % 3 == 0
+    second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.floor(F.col("event_id") / 3) % 3600)
+    rows = user_readings(spark, sf_dir).select(
+        "event_id",
+        F.when(hot, F.lit(0)).otherwise(F.col("user_id")).alias("series"),
+        F.when(hot, F.lit("2024-01-10 12:00:00").cast("timestamp_ntz") + second).otherwise(F.col("ts")).alias("ts"),
+        "reading",
+        F.when(F.col("reading") % 3 != 0, F.col("reading")).alias("carried"),
+    )
+    sizes = scans.segmented(rows, ["series"], ["ts", "event_id"], HOT_SEGMENTS).groupBy(scans.SEGMENT).count()
+    balanced = sizes.agg(F.max("count") <= 3 * F.median("count")).scalar()
+    filled = timeseries.fill_forward(rows, ["series"], "ts", ["carried"], tie=["event_id"], segments=HOT_SEGMENTS)
+    delta = timeseries.meter_delta(filled, ["series"], "ts", "reading", tie=["event_id"], segments=HOT_SEGMENTS)
+    return delta.select("event_id", "delta", "carried", balanced.alias("balanced"))
+
+
 @query(
     "meter_delta_single_series",
     """SELECT event_id, reading,
@@ -82,7 +117,7 @@ def time_grid_query(spark, sf_dir):
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reading FROM {gappy_hours}""",
 )
 def fill_forward(spark, sf_dir):
-    return timeseries.fill_forward(gappy_hours(spark, sf_dir), ["user_id"], "ts", ["reading"], bucket_minutes=1440)
+    return timeseries.fill_forward(gappy_hours(spark, sf_dir), ["user_id"], "ts", ["reading"])
 
 
 @query(
@@ -91,9 +126,7 @@ def fill_forward(spark, sf_dir):
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS reading FROM {gappy_hours}""",
 )
 def running_mean_fill(spark, sf_dir):
-    filled = timeseries.fill_forward(
-        gappy_hours(spark, sf_dir), ["user_id"], "ts", ["reading"], "running_mean", bucket_minutes=1440
-    )
+    filled = timeseries.fill_forward(gappy_hours(spark, sf_dir), ["user_id"], "ts", ["reading"], "running_mean")
     return filled.withColumn("reading", F.round("reading", 6))
 
 

@@ -2,18 +2,13 @@
 
 A window partitioned by series alone puts a whole series into one task; a
 window without a partition puts everything there.  Both break when one meter
-holds a third of the data.  The operators below cut every series into time
-buckets and run the window inside (series, bucket).  What a bucket needs to
-know about the past is one *seed row*:
-
-1. each bucket is summarised to one row by a map-side-combined aggregate;
-2. the summaries, at most one row per series and bucket, are carried forward
-   by a window per series;
-3. the carried rows are united with the data as the first row of each bucket.
-
-The data is shuffled once, by (series, bucket), and no join is needed.  The
-largest unit of work is what one series can emit in one bucket; choose
-``bucket_minutes`` accordingly.  Missing series keys form a series of their own.
+holds a third of the data.  The operators below run inside the segments of
+:mod:`dialwright.operators.scans`: the rows are range-partitioned by series and
+time once and stored, and each segment starts from one carried row.  Missing
+series keys form a series of their own.
+
+The largest unit of work is one segment.  ``segments`` fixes their number; by
+default it follows Spark's shuffle partitions.
 """
 
 from __future__ import annotations
@@ -21,59 +16,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialwright.functions.keys import floor_minutes
-
-_BUCKET = "__bucket"
-_KIND = "__kind"  # 0 = seed row, 1 = data row
-DEFAULT_BUCKET_MINUTES = 60
-
-
-def _bucketed(df: DataFrame, ts: str, bucket_minutes: int) -> DataFrame:
-    return df.withColumn(_BUCKET, floor_minutes(ts, bucket_minutes))
-
-
-def _past(series: list[str]) -> Window:
-    """All earlier buckets of the same series."""
-    return Window.partitionBy(*series).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _inside(series: list[str], order: list[Column | str]) -> Window:
-    """Rows of one bucket, seed row first."""
-    return Window.partitionBy(*series, _BUCKET).orderBy(_KIND, *order)
-
-
-def _with_seeds(data: DataFrame, seeds: DataFrame) -> DataFrame:
-    return data.withColumn(_KIND, F.lit(1)).unionByName(
-        seeds.withColumn(_KIND, F.lit(0)), allowMissingColumns=True
-    )
-
-
-def _without_seeds(df: DataFrame, extra: list[str]) -> DataFrame:
-    return df.filter(F.col(_KIND) == 1).drop(_KIND, _BUCKET, *extra)
+from dialwright.operators import scans
+from dialwright.operators.scans import PLACE, SEGMENT
 
 
 def _order(ts: str, tie: list[str] | None) -> list[str]:
     return [ts, *(tie or [])]
 
 
-def _rank(order: list[str]) -> Column:
-    """Sort key for ``max_by``: the bare timestamp where that suffices.
+def _last(name: str) -> Column:
+    return F.last(name)
 
-    A fixed-width key lets Spark use a hash aggregate; a struct needs a sort.
-    """
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+def _last_known(name: str) -> Column:
+    return F.last(name, ignorenulls=True)
 
 
 def _with_previous(
-    df: DataFrame, series: list[str], ts: str, value: str, tie: list[str] | None, bucket_minutes: int
+    df: DataFrame, series: list[str], ts: str, value: str, tie: list[str] | None, segments: int | None
 ) -> DataFrame:
     """Add ``__prev``: the value of the previous row of the series."""
-    data = _bucketed(df, ts, bucket_minutes)
     order = _order(ts, tie)
-    summary = data.groupBy(*series, _BUCKET).agg(F.max_by(value, _rank(order)).alias(value))
-    seeds = summary.select(*series, _BUCKET, F.last(value).over(_past(series)).alias(value))
-    both = _with_seeds(data, seeds)
-    return _without_seeds(both.withColumn("__prev", F.lag(value).over(_inside(series, order))), [])
+    data = scans.segmented(df, series, order, segments)
+    seeds = scans.carried(data, series, {value: scans.last_of_segment(value, order)}, _last)
+    both = scans.with_carried(data, seeds)
+    previous = F.lag(value).over(scans.inside(series, order))
+    return scans.without_carried(both.withColumn("__prev", previous)).drop(SEGMENT, PLACE)
 
 
 def meter_delta(
@@ -83,14 +51,14 @@ def meter_delta(
     value: str,
     out: str = "delta",
     tie: list[str] | None = None,
-    bucket_minutes: int = DEFAULT_BUCKET_MINUTES,
+    segments: int | None = None,
 ) -> DataFrame:
     """Consumption between readings of a cumulative meter.
 
     NULL on the first reading and where the counter went backwards (a reset:
     the true amount is unknown).  ``tie`` orders readings of the same instant.
     """
-    previous = _with_previous(df, series, ts, value, tie, bucket_minutes)
+    previous = _with_previous(df, series, ts, value, tie, segments)
     step = F.col(value) - F.col("__prev")
     return previous.withColumn(out, F.when(F.col(value) >= F.col("__prev"), step)).drop("__prev")
 
@@ -102,10 +70,10 @@ def sensor_delta(
     value: str,
     out: str = "delta",
     tie: list[str] | None = None,
-    bucket_minutes: int = DEFAULT_BUCKET_MINUTES,
+    segments: int | None = None,
 ) -> DataFrame:
     """Change of an instantaneous sensor since its previous reading."""
-    previous = _with_previous(df, series, ts, value, tie, bucket_minutes)
+    previous = _with_previous(df, series, ts, value, tie, segments)
     return previous.withColumn(out, F.col(value) - F.col("__prev")).drop("__prev")
 
 
@@ -116,7 +84,7 @@ def fill_forward(
     cols: list[str],
     mode: str = "last",
     tie: list[str] | None = None,
-    bucket_minutes: int = DEFAULT_BUCKET_MINUTES,
+    segments: int | None = None,
 ) -> DataFrame:
     """Fill NULLs of ``cols`` from the past of the same series.
 
@@ -125,43 +93,33 @@ def fill_forward(
     observations so far, including its own.
     """
     if mode == "last":
-        return _carry_last(df, series, ts, cols, tie, bucket_minutes)
+        return _carry_last(df, series, ts, cols, tie, segments)
     if mode == "running_mean":
-        return _running_mean(df, series, ts, cols, tie, bucket_minutes)
+        return _running_mean(df, series, ts, cols, tie, segments)
     raise ValueError(f"unknown fill mode {mode!r}: use 'last' or 'running_mean'")
 
 
 def _carry_last(
-    df: DataFrame, series: list[str], ts: str, cols: list[str], tie: list[str] | None, bucket_minutes: int
+    df: DataFrame, series: list[str], ts: str, cols: list[str], tie: list[str] | None, segments: int | None
 ) -> DataFrame:
-    data = _bucketed(df, ts, bucket_minutes)
     order = _order(ts, tie)
-    summary = data.groupBy(*series, _BUCKET).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), _rank(order))).alias(c) for c in cols]
-    )
-    seeds = summary.select(
-        *series, _BUCKET, *[F.last(c, ignorenulls=True).over(_past(series)).alias(c) for c in cols]
-    )
-    frame = _inside(series, order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = _with_seeds(data, seeds).withColumns({c: F.last(c, ignorenulls=True).over(frame) for c in cols})
-    return _without_seeds(filled, []).select(*df.columns)
+    data = scans.segmented(df, series, order, segments)
+    newest = {c: scans.last_of_segment(c, order, F.col(c).isNotNull()) for c in cols}
+    seeds = scans.carried(data, series, newest, _last_known)
+    frame = scans.inside(series, order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = scans.with_carried(data, seeds).withColumns({c: _last_known(c).over(frame) for c in cols})
+    return scans.without_carried(filled).select(*df.columns)
 
 
 def _running_mean(
-    df: DataFrame, series: list[str], ts: str, cols: list[str], tie: list[str] | None, bucket_minutes: int
+    df: DataFrame, series: list[str], ts: str, cols: list[str], tie: list[str] | None, segments: int | None
 ) -> DataFrame:
-    data = _bucketed(df, ts, bucket_minutes)
-    sums, counts = {c: f"__sum_{c}" for c in cols}, {c: f"__n_{c}" for c in cols}
-    for c in cols:
-        data = data.withColumns({sums[c]: F.col(c).cast("double"), counts[c]: F.col(c).isNotNull().cast("bigint")})
-    parts = [*sums.values(), *counts.values()]
-    summary = data.groupBy(*series, _BUCKET).agg(*[F.sum(p).alias(p) for p in parts])
-    seeds = summary.select(*series, _BUCKET, *[F.sum(p).over(_past(series)).alias(p) for p in parts])
-    frame = _inside(series, _order(ts, tie)).rowsBetween(Window.unboundedPreceding, 0)
-    filled = _with_seeds(data, seeds).withColumns(
-        {c: F.try_divide(F.sum(sums[c]).over(frame), F.sum(counts[c]).over(frame)) for c in cols}
-    )
-    return _without_seeds(filled, parts).select(*df.columns)
+    order = _order(ts, tie)
+    sums = {f"__sum_{c}": F.col(c).cast("double") for c in cols}
+    counts = {f"__n_{c}": F.col(c).isNotNull().cast("bigint") for c in cols}
+    summed = scans.running_sums(scans.segmented(df, series, order, segments), series, order, {**sums, **counts})
+    means = {c: F.try_divide(F.col(f"__sum_{c}"), F.col(f"__n_{c}")) for c in cols}
+    return summed.withColumns(means).select(*df.columns)
 
 
 def asof_join(
@@ -172,13 +130,13 @@ def asof_join(
     values: list[str],
     tolerance_minutes: int | None = None,
     right_tie: list[str] | None = None,
-    bucket_minutes: int = DEFAULT_BUCKET_MINUTES,
+    segments: int | None = None,
 ) -> DataFrame:
     """For each left row the latest right row at or before it, same ``by`` keys.
 
     Rows of both sides are merged in time order and the last right row is
     carried forward, so neither side is paired with the other and a dominant
-    key is spread over its buckets.  Every left row comes back once; values
+    key is spread over segments.  Every left row comes back once; values
     are NULL when there is no right row, or none within the tolerance.
     ``right_tie`` decides between right rows of the same instant.
     """
@@ -186,25 +144,19 @@ def asof_join(
     found = F.struct(F.col(ts).alias("__at"), *values)
     ties = [f"__tie_{t}" for t in tie]
     marks = right.select(*by, ts, *[F.col(t).alias(f"__tie_{t}") for t in tie], found.alias("__found"))
-    marks = _bucketed(marks, ts, bucket_minutes).withColumn("__side", F.lit(0))
-    probes = _bucketed(left, ts, bucket_minutes).withColumn("__side", F.lit(1))
-
-    latest = marks.groupBy(*by, _BUCKET).agg(F.max_by("__found", _rank([ts, *ties])).alias("__found"))
-    # A bucket with only left rows needs a seed too, so its key joins the summary.
-    wanted = probes.select(*by, _BUCKET).distinct()
-    summary = latest.unionByName(wanted, allowMissingColumns=True).groupBy(*by, _BUCKET).agg(
-        F.max("__found").alias("__found")
-    )
-    seeds = summary.select(*by, _BUCKET, F.last("__found", ignorenulls=True).over(_past(by)).alias("__found"))
-
-    merged = probes.unionByName(marks, allowMissingColumns=True)
-    frame = _inside(by, [ts, "__side", *ties]).rowsBetween(Window.unboundedPreceding, 0)
-    carried = _with_seeds(merged, seeds).withColumn("__hit", F.last("__found", ignorenulls=True).over(frame))
+    merged = left.withColumn("__side", F.lit(1)).unionByName(marks.withColumn("__side", F.lit(0)), allowMissingColumns=True)
+
+    order = [ts, "__side", *ties]
+    data = scans.segmented(merged, by, order, segments)
+    newest = scans.last_of_segment("__found", order, F.col("__side") == 0)
+    seeds = scans.carried(data, by, {"__found": newest}, _last_known)
+    frame = scans.inside(by, order).rowsBetween(Window.unboundedPreceding, 0)
+    found_last = scans.with_carried(data, seeds).withColumn("__hit", _last_known("__found").over(frame))
     hit = F.col("__hit")
     if tolerance_minutes is not None:
         longest = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(tolerance_minutes))
         hit = F.when(F.col(ts) - F.col("__hit.__at") <= longest, hit)
-    rows = carried.filter((F.col(_KIND) == 1) & (F.col("__side") == 1)).withColumn("__hit", hit)
+    rows = scans.without_carried(found_last).filter(F.col("__side") == 1).withColumn("__hit", hit)
     return rows.select(*left.columns, *[F.col(f"__hit.{v}").alias(v) for v in values])
 
 

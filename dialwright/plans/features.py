@@ -42,7 +42,7 @@ def weather_features(
     step_minutes: int = 15,
     fill: str = "last",
     required: str = "irradiance_wm2",
-    bucket_minutes: int = timeseries.DEFAULT_BUCKET_MINUTES,
+    segments: int | None = None,
 ) -> DataFrame:
     """Forecasts (ts, measure, horizon, value) to one row per grid step.
 
@@ -55,7 +55,7 @@ def weather_features(
     nearest = timeseries.first_per_group(valid, ["ts", "measure"], ["horizon", "value"])
     wide = pivot_measures(nearest, ["ts"], "measure", "value", names)
     on_grid = timeseries.onto_grid(time_grid(bounds(wide, "ts"), "lo", "hi", "ts", step_minutes), wide, ["ts"])
-    filled = timeseries.fill_forward(on_grid, [], "ts", list(names.values()), fill, bucket_minutes=bucket_minutes)
+    filled = timeseries.fill_forward(on_grid, [], "ts", list(names.values()), fill, segments=segments)
     return clean.require_not_null(filled, [required])
 
 

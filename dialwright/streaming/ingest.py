@@ -119,7 +119,6 @@ def stream_meter_delta(
     checkpoint: str,
     out: str = "delta",
     tie: list[str] | None = None,
-    bucket_minutes: int = timeseries.DEFAULT_BUCKET_MINUTES,
     delay: str = "0 seconds",
 ) -> StreamingQuery:
     """Reset-aware meter deltas over a stream of files.
@@ -156,7 +155,7 @@ def stream_meter_delta(
             try:
                 newest = rows.agg(F.max(ts).alias("t")).select((F.col("t") - F.expr(f"INTERVAL {delay}")).alias("t")).scalar()
                 ready = F.col("__emitted") | (F.col(ts) <= newest)
-                delta = timeseries.meter_delta(rows, series, ts, value, out, tie, bucket_minutes)
+                delta = timeseries.meter_delta(rows, series, ts, value, out, tie)
                 write_table(delta.filter(ready & ~F.col("__emitted")).drop("__emitted"), f"{table}/batch={batch_id}")
                 columns = [c for c in stream.columns if c not in series]
                 last = rows.filter(ready).groupBy(*series).agg(F.max_by(F.struct(*columns), place).alias("__row"))
@@ -182,12 +181,11 @@ def pending_meter_delta(
     state: str,
     out: str = "delta",
     tie: list[str] | None = None,
-    bucket_minutes: int = timeseries.DEFAULT_BUCKET_MINUTES,
 ) -> DataFrame:
     """Deltas of the readings that wait in the newest state of :func:`stream_meter_delta`."""
     schema = stream.withColumn("__emitted", F.lit(False)).schema
     versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])).parquet(state)
     newest = versions.agg(F.max("version").alias("v")).scalar()
     rows = versions.filter(F.col("version") == newest).drop("version")
-    delta = timeseries.meter_delta(rows, series, ts, value, out, tie, bucket_minutes)
+    delta = timeseries.meter_delta(rows, series, ts, value, out, tie)
     return delta.filter("NOT __emitted").drop("__emitted")

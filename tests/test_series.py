@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dialwright.functions.keys import assign_keys, floor_minutes
-from dialwright.operators import increments, reshape, timeseries
+from dialwright.operators import increments, reshape, scans, timeseries
 from dialwright.operators.aggregates import bounds
 from dialwright.session import local_frame
 
@@ -34,27 +34,27 @@ def skewed(spark, sf_dir):
     return events.select("event_id", "ts", hot.cast("bigint").alias("series"), value.alias("v"))
 
 
-@pytest.mark.parametrize("bucket", [1, 60, 1440])
+@pytest.mark.parametrize("segments", [1, 7, None])
 @pytest.mark.parametrize("series", [["series"], []])
-def test_deltas_equal_plain_windows(skewed, series, bucket):
+def test_deltas_equal_plain_windows(skewed, series, segments):
     w = Window.partitionBy(*series).orderBy("ts", "event_id")
     previous = F.lag("v").over(w)
     expected = skewed.select("event_id", F.when(F.col("v") >= previous, F.col("v") - previous).alias("d"))
-    mine = timeseries.meter_delta(skewed, series, "ts", "v", "d", ["event_id"], bucket).select("event_id", "d")
+    mine = timeseries.meter_delta(skewed, series, "ts", "v", "d", ["event_id"], segments).select("event_id", "d")
     assert mine.exceptAll(expected).count() == 0 and mine.count() == expected.count()
     expected = skewed.select("event_id", (F.col("v") - previous).alias("d"))
-    mine = timeseries.sensor_delta(skewed, series, "ts", "v", "d", ["event_id"], bucket).select("event_id", "d")
+    mine = timeseries.sensor_delta(skewed, series, "ts", "v", "d", ["event_id"], segments).select("event_id", "d")
     assert mine.exceptAll(expected).count() == 0 and mine.count() == expected.count()
 
 
-@pytest.mark.parametrize("bucket", [1, 60, 1440])
-def test_fills_equal_plain_windows(skewed, bucket):
+@pytest.mark.parametrize("segments", [1, 7, None])
+def test_fills_equal_plain_windows(skewed, segments):
     w = Window.partitionBy("series").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     expected = skewed.select("event_id", F.last("v", ignorenulls=True).over(w).alias("v"))
-    mine = timeseries.fill_forward(skewed, ["series"], "ts", ["v"], tie=["event_id"], bucket_minutes=bucket)
+    mine = timeseries.fill_forward(skewed, ["series"], "ts", ["v"], tie=["event_id"], segments=segments)
     assert mine.select("event_id", "v").exceptAll(expected).count() == 0
     expected = skewed.select("event_id", F.round(F.avg("v").over(w), 6).alias("v"))
-    mine = timeseries.fill_forward(skewed, ["series"], "ts", ["v"], "running_mean", ["event_id"], bucket)
+    mine = timeseries.fill_forward(skewed, ["series"], "ts", ["v"], "running_mean", ["event_id"], segments)
     assert mine.select("event_id", F.round("v", 6).alias("v")).exceptAll(expected).count() == 0
 
 
@@ -78,7 +78,7 @@ def test_asof_equals_brute_force(skewed):
     left, right = skewed.filter("event_id % 2 = 0").drop("v"), skewed.filter("event_id % 2 = 1")
     lefts, rights = left.collect(), right.collect()
     for tolerance in (None, 240):
-        mine = timeseries.asof_join(left, right, ["series"], "ts", ["v"], tolerance, ["event_id"], 60)
+        mine = timeseries.asof_join(left, right, ["series"], "ts", ["v"], tolerance, ["event_id"], 5)
         got = {r["event_id"]: r["v"] for r in mine.collect()}
         assert len(got) == len(lefts)
         for l in lefts:
@@ -90,13 +90,30 @@ def test_asof_equals_brute_force(skewed):
 
 
 def test_no_raw_row_passes_a_single_task(skewed):
-    """The only unpartitioned exchange carries one row per bucket."""
+    """The only unpartitioned exchange carries one row per segment."""
     text = plan(timeseries.meter_delta(skewed, [], "ts", "v", tie=["event_id"]))
     after = [text.split("\n")[i + 1] for i, line in enumerate(text.split("\n")) if "SinglePartition" in line]
-    assert after and all("Aggregate(key" in line and "__bucket" in line for line in after)
+    assert after and all("Aggregate(key" in line and "__segment" in line for line in after)
     assert "SinglePartition" not in plan(timeseries.meter_delta(skewed, ["series"], "ts", "v", tie=["event_id"]))
 
 
+@pytest.mark.parametrize("order", [["ts", "event_id"], ["ts"]])
+def test_a_hot_series_is_split_evenly(skewed, order):
+    """A third of all rows in one series, in one hour or in one instant: no segment above three times the median."""
+    hour = F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") % (3600 if len(order) > 1 else 1))
+    hot = skewed.withColumn("ts", F.when(F.col("series") == 7, hour).otherwise(F.col("ts")))
+    sizes = [r["count"] for r in scans.segmented(hot, ["series"], order, 16).groupBy(scans.SEGMENT).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_running_sums(skewed):
+    w = Window.partitionBy("series").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    expected = skewed.select("event_id", F.sum("v").over(w).alias("total"), F.count(F.lit(1)).over(w).alias("n"))
+    placed = scans.segmented(skewed, ["series"], ["ts", "event_id"], 9)
+    mine = scans.running_sums(placed, ["series"], ["ts", "event_id"], {"total": F.col("v"), "n": F.lit(1)}).select("event_id", "total", "n")
+    assert mine.exceptAll(expected).count() == 0 and mine.count() == expected.count()
+
+
 def test_watermark_range_reaches_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert "GreaterThanOrEqual(ts,2024-01-16T00:00)" in plan(increments.after_watermark(events, "ts", 20240115))
