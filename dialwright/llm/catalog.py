@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialwright.llm import embeddings, filter_audit, mixing, mixture_packing, packing, quality, repeats, simhash, token_counts, token_files, url_filter, warc
+from dialwright.llm import embeddings, filter_audit, mixing, mixture_packing, packing, prefix_trie, quality, repeats, simhash, token_counts, token_files, url_filter, warc
 from dialwright.llm.common import table
 from dialwright.session import shared_dir
 
@@ -198,3 +198,62 @@ SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGI
 @query("op12_filter_audit", _AUDIT_SQL)
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_TRIE_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+turns AS (
+  SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said, turn,
+    md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT conv_id, list(said ORDER BY turn NULLS FIRST, digest) AS said,
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT) AS digits
+  FROM turns GROUP BY conv_id
+),
+hashed AS (
+  SELECT conv_id, said, xor(list_reduce(list_prepend(4294967295, digits),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 4 AS h FROM own, crc
+),
+rebuilt AS (
+  SELECT a.conv_id, coalesce(list_slice(b.said, 1, a.h), []) || coalesce(list_slice(a.said, a.h + 1, len(a.said)), []) AS said
+  FROM hashed a LEFT JOIN hashed b ON b.conv_id = a.conv_id - a.conv_id % 20
+),
+members AS (
+  SELECT conv_id, d AS depth, list_slice(said, 1, d) AS path, len(said) = d AS ends FROM rebuilt, range(len(said) + 1) r(d)
+),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY path, depth
+),
+valued AS (
+  SELECT *, (n_convs - 1) * (CASE WHEN depth = 0 THEN 0
+    ELSE len(regexp_extract_all(path[depth].text, '[^ 	-
+]+')) END) AS saved FROM nodes
+),
+families AS (
+  SELECT p.conv_id, p.depth, count(c.path) AS n_children FROM nodes p
+  LEFT JOIN nodes c ON c.depth = p.depth + 1 AND list_slice(c.path, 1, p.depth) = p.path GROUP BY ALL
+),
+ancestors AS (
+  SELECT list_slice(v.path, 1, d) AS path, d AS depth, v.saved, f.n_children
+  FROM valued v JOIN families f ON f.conv_id = v.conv_id AND f.depth = v.depth, range(v.depth + 1) r(d)
+),
+subtrees AS (
+  SELECT path, depth, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM ancestors GROUP BY path, depth
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, f.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s ON s.depth = n.depth AND s.path = n.path
+JOIN families f ON f.conv_id = n.conv_id AND f.depth = n.depth
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = list_slice(n.path, 1, n.depth - 1)
+"""
+
+
+@query("op13_prefix_trie", _TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
