@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import os
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,52 +63,38 @@ class Merger:
         for rank, token in enumerate(tokens):
             ranks.setdefault(raw(token), rank)
         self.id_of = np.array([vocabulary[t] for t in tokens], np.uint32)
-        newline = b"\n"
-        self.newline = ranks[newline]
-        self.tool = tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", mergeable_ranks=ranks, special_tokens={})
-
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and their number per word; no word is empty or holds a newline."""
-        text = f"{self.mark}\n".join(words) + f"{self.mark}\n"
-        ranks = np.array(self.tool.encode_ordinary(text), np.int64)
+        self.newline = ranks[b"\n"]
+        self.tool = tiktoken.Encoding("words", pat_str=r"[^\n.,]+|[.,]\x00?|\n", mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, words: pa.Array) -> pa.Array:
+        """Ids of words of letters, which may end in a full stop or a comma, as lists."""
+        if self.mark:
+            words = pc.replace_substring_regex(words, r"([.,])\z", rf"{self.mark}\1")
+        closed = f"{self.mark}\n"
+        ranks = np.array(self.tool.encode_ordinary(closed.join(words.to_pylist()) + closed), np.int64)
         between = ranks == self.newline
-        return self.id_of[ranks[~between]], np.diff(np.flatnonzero(between), prepend=-1) - 1
+        ends = np.flatnonzero(between) - np.arange(len(words))
+        return _lists(self.id_of[ranks[~between]], ends)
 
 
-def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The stretches ``flat[start : start + length]`` one after another."""
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.arange(total) + np.repeat(start - (ends - length), length)]
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int64)), pa.array(ids, pa.uint32()))
 
 
 class _Memory:
-    """Ids of words: a place per word in one flat array."""
+    """Words and their ids."""
 
     def __init__(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, np.int64)
-        self.length = np.zeros(1 << 14, np.int64)
-
-    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        have, need = len(self.place), self.used + len(ids)
-        if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(need, np.uint32)])
-        self.flat[self.used : need] = ids
-        if have + len(words) > len(self.start):
-            more = np.zeros(have + len(words), np.int64)
-            self.start, self.length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
-        self.start[have : have + len(words)] = self.used + np.cumsum(lengths) - lengths
-        self.length[have : have + len(words)] = lengths
-        self.used = need
-        self.place.update(zip(words, range(have, have + len(words)), strict=True))
-
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of known words one after another, and their number per word."""
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        return _gathered(self.flat, self.start[at], self.length[at]), self.length[at]
+        self.words = pa.array([], pa.large_string())
+        self.ids = _lists(np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def add(self, words: pa.Array, ids: pa.Array) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = pa.concat_arrays([self.ids, ids])
+
+    def find(self, words: pa.Array) -> pa.Array:
+        """The place of each word, null for one that is not known."""
+        return pc.index_in(words, value_set=self.words)
 
 
 class WordEncoder:
@@ -145,60 +130,45 @@ class WordEncoder:
         if self.drops_space:
             words = [w.strip() for w in words if w != "\n"]
         memory = _Memory()
-        self._learn(memory, list(dict.fromkeys(words)))
-        return whole == sum(self._library(words), []) and whole == memory.ids(words)[0].tolist()
-
-    def _letters(self, word: str) -> str | None:
-        """The word as the merges see it if it is one piece for the pre-tokenizer, else None."""
-        if not self.drops_space:
-            return word if word.isalpha() or word[:1] == " " and word[1:].isalpha() else None
-        if self.folds:
-            if "Σ" in word:  # the only letter that lower-cases by its place
-                return None
-            word = word.lower()
-        return word if word.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word)) else None
-
-    def _learn(self, memory: _Memory, words: list[str]) -> None:
+        self._learn(memory, pa.array(list(dict.fromkeys(words)), pa.large_string()))
+        at = memory.find(pa.array(words, pa.large_string()))
+        return whole == sum(self._library(words), []) and whole == memory.ids.take(at).flatten().to_pylist()
+
+    def _learn(self, memory: _Memory, words: pa.Array) -> None:
         """Put new words into the memory.
 
         Letters, and letters with one closing mark, are merged here; the library
         takes the rest, and an empty part stands for a newline.
         """
-        simple: list[str] = []
-        pieces: list[str] = []
-        first: list[int] = []  # where a simple word's pieces start
-        others: list[str] = []
-        for word in words:
-            closed = word[-1:] in (".", ",") and len(word) > 1
-            letters = self._letters(word[:-1] if closed else word)
-            if letters is None:
-                others.append(word)
-                continue
-            simple.append(word)
-            first.append(len(pieces))
-            pieces.append(letters)
-            if closed:
-                pieces.append(word[-1])
-        if simple:
-            ids, lengths = self.merger.ids(pieces)
-            memory.add(simple, ids, np.add.reduceat(lengths, first))
-        if others:
-            found = self._library([w or "\n" for w in others])
-            memory.add(others, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found]))
-
-    def _places(self, words: list[str]) -> np.ndarray:
+        simple = pc.match_substring_regex(words, r"\A\p{L}+[.,]?\z" if self.drops_space else r"\A ?\p{L}+[.,]?\z")
+        if self.drops_space:
+            # Letters that composing or lower-casing turns into something else.
+            simple = pc.and_(simple, pc.equal(words, pc.utf8_normalize(words, "NFC")))
+            if self.folds:
+                simple = pc.and_(simple, pc.invert(pc.match_substring(words, "İ")))
+        letters, others = words.filter(simple), words.filter(pc.invert(simple))
+        if len(letters):
+            memory.add(letters, self.merger.ids(pc.utf8_lower(letters) if self.folds else letters))
+        if len(others):
+            found = self._library([w or "\n" for w in others.to_pylist()])
+            ids = np.array([i for ids in found for i in ids], np.uint32)
+            memory.add(others, _lists(ids, np.cumsum([len(ids) for ids in found])))
+
+    def _places(self, words: pa.Array) -> np.ndarray:
         """The place of each of these distinct words in the young memory, where they are put first if need be."""
-        if len(self.young.place) > self.kept_words:
+        if len(self.young.words) > self.kept_words:
             self.young, self.old = _Memory(), self.young
-        place, old = self.young.place, self.old.place
-        absent = [w for w in words if w not in place]
-        known = [w for w in absent if w in old]
-        if known:
-            self.young.add(known, *self.old.ids(known))
-        new = [w for w in absent if w not in old] if known else absent
-        for i in range(0, len(new), 1 << 14):
-            self._learn(self.young, new[i : i + (1 << 14)])
-        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        at = self.young.find(words)
+        absent = words.filter(pc.is_null(at))
+        if len(absent):
+            known = self.old.find(absent)
+            seen = pc.is_valid(known)
+            self.young.add(absent.filter(seen), self.old.ids.take(known.drop_null()))
+            new = absent.filter(pc.invert(seen))
+            if len(new):
+                self._learn(self.young, new)
+            at = self.young.find(words)
+        return at.to_numpy(zero_copy_only=False)
 
     def _by_words(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if self.drops_space:
@@ -217,12 +187,10 @@ class WordEncoder:
             flat = parts.flatten()
             sizes = np.diff(parts.offsets.to_numpy())
         coded = flat.dictionary_encode()
-        places = self._places(coded.dictionary.to_pylist())
-        at = places[coded.indices.to_numpy(zero_copy_only=False)]
-        length = self.young.length[at]
-        ids = _gathered(self.young.flat, self.young.start[at], length)
-        text_ends = np.append(0, np.cumsum(length))[np.cumsum(sizes)]
-        return iter(np.split(ids, text_ends[:-1]))
+        places = self._places(coded.dictionary)
+        found = self.young.ids.take(pa.array(places[coded.indices.to_numpy(zero_copy_only=False)]))
+        text_ends = found.offsets.to_numpy()[np.cumsum(sizes)]
+        return iter(np.split(found.flatten().to_numpy(), text_ends[:-1]))
 
     def encode(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as uint32."""
@@ -250,7 +218,7 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def encoded(path: str, texts: pa.Array, end_id: int, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
+def encoded(path: str, texts: pa.Array, end_id: int, at_once: int = 1 << 22) -> Iterator[np.ndarray]:
     """Each text's ids and the end id, as little-endian uint32; a null text is empty.
 
     Texts are handled in lots of about ``at_once`` bytes, so memory follows one
