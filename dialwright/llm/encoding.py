@@ -28,6 +28,8 @@ _ENCODERS: dict[str, WordEncoder] = {}
 # White space of Unicode other than the space and the newline.
 _OTHER_SPACE = r"[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _ODD = _OTHER_SPACE + r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+# Latin and Cyrillic letters, which normal form C leaves as they are.
+_STABLE = r"[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}\x{400}-\x{481}\x{48A}-\x{52F}]"
 _MARK = "\x00"  # stands for the end of a word; no word of letters holds it
 
 
@@ -116,6 +118,7 @@ class WordEncoder:
         self.kept_words = kept_words
         self.drops_space = not self._library(["\n"])[0]
         self.folds = self._library(["A"]) == self._library(["a"])
+        self.simple = rf"\A{_STABLE}+[.,]?\z" if self.drops_space else r"\A ?\p{L}+[.,]?\z"
         self.merger = Merger(model)
         self.young, self.old = _Memory(), _Memory()
         self.cuts = self._cuts_hold()
@@ -140,12 +143,9 @@ class WordEncoder:
         Letters, and letters with one closing mark, are merged here; the library
         takes the rest, and an empty part stands for a newline.
         """
-        simple = pc.match_substring_regex(words, r"\A\p{L}+[.,]?\z" if self.drops_space else r"\A ?\p{L}+[.,]?\z")
-        if self.drops_space:
-            # Letters that composing or lower-casing turns into something else.
-            simple = pc.and_(simple, pc.equal(words, pc.utf8_normalize(words, "NFC")))
-            if self.folds:
-                simple = pc.and_(simple, pc.invert(pc.match_substring(words, "İ")))
+        simple = pc.match_substring_regex(words, self.simple)
+        if self.folds:
+            simple = pc.and_(simple, pc.invert(pc.match_substring(words, "İ")))  # becomes two characters
         letters, others = words.filter(simple), words.filter(pc.invert(simple))
         if len(letters):
             memory.add(letters, self.merger.ids(pc.utf8_lower(letters) if self.folds else letters))
