@@ -8,7 +8,7 @@ from dialwright.examples import base
 from dialwright.session import local_frame
 from dialwright.examples.registry import query
 from dialwright.functions.keys import date_key, floor_minutes
-from dialwright.operators import access, aggregates, joins
+from dialwright.operators import access, aggregates, joins, scans
 
 
 @query(
@@ -165,6 +165,27 @@ def price_by_tariff(spark, sf_dir):
     return priced.select("o_orderkey", "price")
 
 
+@query(
+    "price_at_instant",
+    """SELECT e.event_id, e.unit_id, p.price FROM (SELECT event_id, user_id % 5 + 1 AS unit_id, ts FROM events WHERE event_type = 'click') e
+       ASOF LEFT JOIN (
+         SELECT user_id % 5 + 1 AS unit_id, time_bucket(INTERVAL '1 hour', ts) AS valid_from,
+           CASE WHEN hour(max(ts)) <> 7 THEN CAST(max(event_id) AS BIGINT) END AS price
+         FROM events WHERE event_type = 'view' GROUP BY 1, 2) p
+       ON e.unit_id = p.unit_id AND e.ts >= p.valid_from""",
+)
+def price_at_instant(spark, sf_dir):
+    """Hourly tariffs of five units: a price holds until the unit's next one, the last is open, those of 7 o'clock are missing."""
+    events = base.table(spark, sf_dir, "events").withColumn("unit_id", F.col("user_id") % 5 + 1)
+    hourly = events.filter("event_type = 'view'").groupBy("unit_id", floor_minutes("ts", 60).alias("valid_from"))
+    prices = hourly.agg(F.max("event_id").alias("price")).withColumn("back", -F.unix_micros(F.col("valid_from").cast("timestamp")))
+    lines = scans.with_previous(prices, ["unit_id"], ["back"], "valid_from", "valid_to").drop("back")
+    lines = lines.filter(F.hour("valid_from") != 7)
+    clicks = events.filter("event_type = 'click'").select("event_id", "unit_id", "ts")
+    priced = joins.price_at_instant(clicks, lines, "ts", "price", "valid_from", "valid_to", by={"unit_id": "unit_id"})
+    return priced.drop("ts")
+
+
 def _grants(spark, sf_dir):
     return base.table(spark, sf_dir, "nation").select(
         F.concat(F.lit("user_"), F.col("n_regionkey").cast("string")).alias("login"),

@@ -201,6 +201,45 @@ def scd2_history(spark, sf_dir):
     return dimensions.scd2(current.unionByName(past), incoming, ["c_custkey"], ["segment"])
 
 
+# Two loads of priorities per customer; the second comes after the first but is dated into and around it.
+cte(
+    "first_load",
+    """SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, max(o_orderpriority) AS priority FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1, 2""",
+)
+cte(
+    "second_load",
+    """SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, max(o_orderpriority) AS priority FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2""",
+)
+cte(
+    "first_lines",
+    """SELECT * FROM (SELECT *, lag(priority) OVER (PARTITION BY o_custkey ORDER BY day) AS before FROM {first_load})
+       WHERE priority IS DISTINCT FROM before""",
+)
+cte(
+    "all_cuts",
+    """SELECT o_custkey, day, priority FROM {second_load} UNION ALL
+       SELECT o_custkey, day, priority FROM {first_lines} ANTI JOIN {second_load} USING (o_custkey, day)""",
+)
+
+
+@query(
+    "scd2_timeline",
+    """SELECT o_custkey, priority, CAST(day AS VARCHAR) AS valid_from,
+         CAST(CAST(lead(day) OVER (PARTITION BY o_custkey ORDER BY day) - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS valid_to
+       FROM (SELECT *, lag(priority) OVER (PARTITION BY o_custkey ORDER BY day) AS before FROM {all_cuts})
+       WHERE priority IS DISTINCT FROM before""",
+)
+def scd2_timeline(spark, sf_dir):
+    """Many changes per customer in each of two loads, the second one back-dated into the lines of the first."""
+    orders = base.table(spark, sf_dir, "orders").withColumn("valid_from", F.col("o_orderdate").cast("date"))
+    empty = local_frame(spark, [], "o_custkey bigint, priority string, valid_from date, valid_to date")
+    state = empty
+    for load in (orders.filter("o_orderkey % 3 = 0"), orders.filter("o_orderkey % 3 <> 0")):
+        changes = load.select("o_custkey", F.col("o_orderpriority").alias("priority"), "valid_from")
+        state = dimensions.scd2_timeline(state, changes, ["o_custkey"], ["priority"])
+    return state
+
+
 @query(
     "dim_date",
     "SELECT d.*, coalesce(n, 0) AS n_orders FROM {order_days} d LEFT JOIN (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS full_date, count(*) AS n FROM orders GROUP BY 1) USING (full_date)",

@@ -17,6 +17,7 @@ from dialwright import fixed_values as fv
 from dialwright.functions.calendar import day_before, is_weekend
 from dialwright.functions.keys import assign_keys, date_key
 from dialwright.functions.text import code_label, initials, room_parts, unit_name
+from dialwright.operators import scans
 from dialwright.operators.joins import new_members
 
 
@@ -288,6 +289,47 @@ def scd2(
     return history.unionByName(both.select(F.inline(lines)))
 
 
+def scd2_timeline(
+    dim: DataFrame,
+    src: DataFrame,
+    natural_key: list[str],
+    watch: list[str],
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+) -> DataFrame:
+    """Effective dating with any number of changes per key, in any order, back-dated ones included.
+
+    A key's timeline is cut at every day where a line starts or has ended and at
+    every day of a change.  A change holds from its day up to the next cut, so
+    one that is dated into an old line splits it and leaves later lines alone;
+    on a day where a line starts it replaces that line.  Neighbours with equal
+    watched values become one line.  Days without a line stay without one.  Of
+    several changes of a key on one day the largest by the watched values holds.
+
+    The lines of a key are swept in segments (:mod:`dialwright.operators.scans`),
+    so neither a long history nor a dominant key ends up in one task.
+    """
+    kept = [c for c in dim.columns if c not in (*natural_key, valid_from, valid_to)]
+
+    def cuts(rows: DataFrame, day: Column, rank: int) -> DataFrame:
+        values = [(F.col(c) if c in rows.columns and rank else F.lit(None)).cast(dim.schema[c].dataType).alias(c) for c in kept]
+        place = F.struct(F.lit(rank).alias("rank"), *[v for v, c in zip(values, kept, strict=True) if c in watch])
+        return rows.select(*natural_key, day.alias("__day"), place.alias("__rank"), F.struct(*values, F.lit(rank > 0).alias("__held")).alias("__line"))
+
+    ended = cuts(dim.filter(F.col(valid_to).isNotNull()), F.date_add(F.col(valid_to).cast("date"), 1), 0)
+    events = ended.unionByName(cuts(dim, F.col(valid_from).cast("date"), 1)).unionByName(cuts(src, F.col(valid_from).cast("date"), 2))
+    daily = events.groupBy(*natural_key, "__day").agg(F.max_by("__line", "__rank").alias("__line"))
+    seen = daily.withColumn("__watched", F.struct(*[F.col(f"__line.{c}") for c in watch], F.col("__line.__held")))
+    before = scans.with_previous(seen, natural_key, ["__day"], "__watched", "__before")
+    starts = before.filter(~F.col("__watched").eqNullSafe(F.col("__before"))).withColumn("__back", -F.unix_date("__day"))
+    bounded = scans.with_previous(starts, natural_key, ["__back"], "__day", "__next").filter("__line.__held")
+    lines = {c: F.col(f"__line.{c}") for c in kept} | {
+        valid_from: F.col("__day").cast(dim.schema[valid_from].dataType),
+        valid_to: day_before(F.col("__next")).cast(dim.schema[valid_to].dataType),
+    }
+    return bounded.select(*[lines[c].alias(c) if c in lines else F.col(c) for c in dim.columns])
+
+
 def scd2_rejects(
     dim: DataFrame,
     src: DataFrame,

@@ -13,6 +13,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dialwright.operators import scans
 
 
 def lookup_key(
@@ -150,6 +153,63 @@ def price_at(
     return fact.join(per_day, matching, "left").drop("__day", *[f"__by_{f}" for f in by])
 
 
+def price_at_instant(
+    fact: DataFrame,
+    tariff: DataFrame,
+    ts: str,
+    price: str,
+    valid_from: str,
+    valid_to: str,
+    by: dict[str, str] | None = None,
+) -> DataFrame:
+    """Add the price in force at the instant ``ts``; ranges are half-open, a NULL ``valid_to`` is open.
+
+    Ranges are cut to bins of time, facts fall into one bin each, and an equi
+    join on tariff and bin is followed by the exact check.  The width of a bin is
+    the mean length of the ranges inside the facts' span, so the cut table has
+    at most about three rows per range, whatever the lengths.  ``by`` pairs fact
+    columns with tariff columns, as in :func:`price_at`.  Ranges of one tariff
+    that overlap would multiply facts and stop the job.
+    """
+    by = by or {}
+    names = [f"__by_{f}" for f in by]
+    lines = tariff.select(
+        *[F.col(t).alias(n) for n, t in zip(names, by.values(), strict=True)],
+        _micros(tariff, valid_from).alias("__from"),
+        _micros(tariff, valid_to).alias("__to"),
+        price,
+    ).filter(F.col("__to").isNull() | (F.col("__from") < F.col("__to")))
+    clash = F.raise_error(F.lit(f"two values of {price} in force at one time")).cast("boolean")
+    checked = scans.with_previous(lines.withColumn("__end", F.coalesce("__to", F.lit(_FAR))), names, ["__from"], "__end", "__before").filter(
+        F.when(F.col("__before") > F.col("__from"), clash).otherwise(F.lit(True))
+    )
+    span = fact.agg(F.struct(F.min(_micros(fact, ts)).alias("lo"), F.max(_micros(fact, ts)).alias("hi")).alias("s")).scalar()
+    inside = (
+        checked.withColumn("__span", span)
+        .withColumn("__first", F.greatest("__from", "__span.lo"))
+        .withColumn("__last", F.least(F.col("__end") - 1, F.col("__span.hi")))
+        .filter("__first <= __last")
+        .drop("__span", "__before", "__end")
+    )
+    width = inside.agg(F.coalesce(F.ceil(F.avg(F.col("__last") - F.col("__first") + 1)), F.lit(1)).alias("w")).scalar()
+    bins = inside.withColumn("__width", width).withColumn("__bin", F.explode(F.expr("sequence(__first div __width, __last div __width)"))).drop("__first", "__last", "__width")
+    placed = fact.withColumn("__at", _micros(fact, ts)).withColumn("__width", width).withColumn("__bin", F.expr("__at div __width")).drop("__width")
+    facts, ranges = placed.alias("f"), bins.withColumnRenamed("__bin", "__of").alias("r")
+    same = reduce(and_, [F.col(f"f.{f}") == F.col(f"r.{n}") for f, n in zip(by, names, strict=True)], F.col("__bin") == F.col("__of"))
+    within = (F.col("__at") >= F.col("__from")) & (F.col("__to").isNull() | (F.col("__at") < F.col("__to")))
+    return facts.join(ranges, same & within, "left").drop("__at", "__bin", "__of", "__from", "__to", *names)
+
+
+_FAR = (1 << 63) - 1
+
+
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970: of the instant, or of the clock where there is no zone."""
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        return F.unix_micros(ts)
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+
+
 def backfill(
     df: DataFrame,
     actuals: DataFrame,

@@ -89,3 +89,13 @@ def running_sums(segments: DataFrame, keys: list[str], order: list[str], sums: d
     seeds = carried(data, keys, {n: F.sum(n) for n in sums}, F.sum)
     frame = inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     return without_carried(with_carried(data, seeds).withColumns({n: F.sum(n).over(frame) for n in sums}))
+
+
+def with_previous(
+    df: DataFrame, keys: list[str], order: list[str], value: str, out: str, segments: int | None = None
+) -> DataFrame:
+    """Add ``out``: ``value`` of the previous row of the group, NULL on its first row."""
+    data = segmented(df, keys, order, segments)
+    seeds = carried(data, keys, {value: last_of_segment(value, order)}, F.last)
+    previous = F.lag(value).over(inside(keys, order))
+    return without_carried(with_carried(data, seeds).withColumn(out, previous)).drop(SEGMENT, PLACE)

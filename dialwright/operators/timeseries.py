@@ -17,17 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialwright.operators import scans
-from dialwright.operators.scans import PLACE, SEGMENT
 
 
 def _order(ts: str, tie: list[str] | None) -> list[str]:
     return [ts, *(tie or [])]
 
 
-def _last(name: str) -> Column:
-    return F.last(name)
-
-
 def _last_known(name: str) -> Column:
     return F.last(name, ignorenulls=True)
 
@@ -36,12 +31,7 @@ def _with_previous(
     df: DataFrame, series: list[str], ts: str, value: str, tie: list[str] | None, segments: int | None
 ) -> DataFrame:
     """Add ``__prev``: the value of the previous row of the series."""
-    order = _order(ts, tie)
-    data = scans.segmented(df, series, order, segments)
-    seeds = scans.carried(data, series, {value: scans.last_of_segment(value, order)}, _last)
-    both = scans.with_carried(data, seeds)
-    previous = F.lag(value).over(scans.inside(series, order))
-    return scans.without_carried(both.withColumn("__prev", previous)).drop(SEGMENT, PLACE)
+    return scans.with_previous(df, series, _order(ts, tie), value, "__prev", segments)
 
 
 def meter_delta(

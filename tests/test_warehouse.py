@@ -216,3 +216,58 @@ def test_no_plan_pairs_rows_or_calls_python(spark, sf_dir):
         text = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "NestedLoop", "Python", "Pandas"):
             assert word not in text, (name, word)
+
+
+def test_timeline_of_out_of_order_changes(spark):
+    D = dt.date
+    schema = "name string, price double, note string, valid_from date, valid_to date"
+    old = local_frame(
+        spark,
+        [("a", 1.0, "n1", D(2023, 1, 1), D(2023, 1, 31)), ("a", 2.0, "n2", D(2023, 3, 1), None), (None, 5.0, "n3", D(2023, 1, 1), None)],
+        schema,
+    )
+    new = local_frame(
+        spark,
+        [
+            ("a", 3.0, D(2023, 3, 20)),  # out of order
+            ("a", 9.0, D(2023, 1, 10)),  # splits a closed line
+            ("a", 2.0, D(2023, 3, 10)),  # changes nothing
+            ("a", 4.0, D(2023, 3, 1)),  # replaces the line of that day
+            ("b", 1.0, D(2022, 1, 1)),
+            ("b", 1.5, D(2022, 1, 1)),  # two on one day: the larger
+            (None, 6.0, D(2022, 12, 1)),
+        ],
+        "name string, price double, valid_from date",
+    )
+    found = dimensions.scd2_timeline(old, new, ["name"], ["price"])
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(
+        [
+            ("a", 1.0, "n1", D(2023, 1, 1), D(2023, 1, 9)),
+            ("a", 9.0, None, D(2023, 1, 10), D(2023, 1, 31)),
+            ("a", 4.0, None, D(2023, 3, 1), D(2023, 3, 9)),
+            ("a", 2.0, None, D(2023, 3, 10), D(2023, 3, 19)),
+            ("a", 3.0, None, D(2023, 3, 20), None),
+            ("b", 1.5, None, D(2022, 1, 1), None),
+            (None, 6.0, None, D(2022, 12, 1), D(2022, 12, 31)),
+            (None, 5.0, "n3", D(2023, 1, 1), None),
+        ],
+        key=repr,
+    )
+    again = dimensions.scd2_timeline(found, new, ["name"], ["price"])
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, found.collect()), key=repr)
+    assert dimensions.scd2_timeline(old, new.limit(0), ["name"], ["price"]).exceptAll(old).count() == 0
+
+
+def test_price_at_an_instant(spark):
+    at = lambda text: dt.datetime.fromisoformat(f"2024-01-01T{text}")
+    lines = [("x", at("00:00"), at("06:30"), 1.0), ("x", at("06:30"), at("06:31"), 2.0), ("x", at("07:00"), None, 3.0), ("y", at("05:00"), at("05:00"), 9.0)]
+    tariff = local_frame(spark, lines, "name string, f timestamp_ntz, t timestamp_ntz, price double")
+    rows = [(1, "x", at("06:29:59")), (2, "x", at("06:30")), (3, "x", at("06:45")), (4, "x", at("23:00")), (5, "y", at("05:00")), (6, None, at("01:00")), (7, "x", None)]
+    fact = local_frame(spark, rows, "id int, kind string, ts timestamp_ntz")
+    priced = joins.price_at_instant(fact, tariff, "ts", "price", "f", "t", by={"kind": "name"})
+    assert {r.id: r.price for r in priced.collect()} == {1: 1.0, 2: 2.0, 3: None, 4: 3.0, 5: None, 6: None, 7: None}
+    text = priced._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    double = tariff.unionByName(tariff.filter("price = 3").withColumn("f", F.lit(at("08:00")).cast("timestamp_ntz")))
+    with pytest.raises(Exception, match="two values of price"):
+        joins.price_at_instant(fact, double, "ts", "price", "f", "t", by={"kind": "name"}).collect()
