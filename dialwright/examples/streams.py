@@ -53,20 +53,27 @@ def stream_tumbling(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def deliveries(parts, folder):
+    """Write each part as one delivery with Spark's own partitions; gives the number of files of a delivery."""
+    tasks = 4
+    for part in parts:
+        write_table(part.repartition(tasks), folder, "append")
+    return tasks
+
+
 @query("stream_meter_delta", METER_SQL)
 def stream_meter_delta(spark, sf_dir):
-    """The events in four files; every ninth reading is in the file after the one it belongs to."""
-    folder, out, state, checkpoint = (shared_dir(spark, f"meter-{part}") for part in ("in", "out", "state", "checkpoint"))
+    """The events in four deliveries; every ninth reading is in the delivery after the one it belongs to."""
+    folder, out, checkpoint = (shared_dir(spark, f"meter-{part}") for part in ("in", "out", "checkpoint"))
     events = base.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", base.cents().alias("reading"))
     week = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
     delivery = F.least(week + F.when(F.col("event_id") % 9 == 0, 1).otherwise(0), F.lit(3))
-    for number in range(4):
-        write_table(events.filter(delivery == number).coalesce(1), folder, "append")
-    stream = ingest.file_stream(spark, folder, events.schema, files_per_batch=1)
+    files = deliveries([events.filter(delivery == number) for number in range(4)], folder)
+    stream = ingest.file_stream(spark, folder, events.schema, files_per_batch=files)
     names = (["user_id"], "ts", "reading")
-    ingest.stream_meter_delta(stream, *names, out, state, checkpoint, tie=["event_id"], delay="9 days")
-    waiting = ingest.pending_meter_delta(spark, stream, *names, state, tie=["event_id"])
-    return spark.read.parquet(out).drop("batch").unionByName(waiting).drop("ts")
+    ingest.stream_meter_delta(stream, *names, out, checkpoint, tie=["event_id"], delay="9 days")
+    waiting = ingest.pending_meter_delta(spark, checkpoint, *names, tie=["event_id"])
+    return spark.read.parquet(out).drop("is_late").unionByName(waiting).drop("ts")
 
 
 @query(
@@ -85,10 +92,9 @@ def stream_upsert(spark, sf_dir):
 
     events = base.table(spark, sf_dir, "events")
     folder = shared_dir(spark, "upsert-in")
-    # Three files, the first of them empty.
-    for part in (events.filter("false"), events.filter("event_id % 3 = 0"), events.filter("event_id % 3 > 0")):
-        write_table(part.coalesce(1), folder, "append")
-    arriving = ingest.file_stream(spark, folder, events.schema, files_per_batch=1)
+    # Three deliveries, the first of them empty.
+    files = deliveries([events.filter("false"), events.filter("event_id % 3 = 0"), events.filter("event_id % 3 > 0")], folder)
+    arriving = ingest.file_stream(spark, folder, events.schema, files_per_batch=files)
     stream = arriving.select("event_id", "user_id", "event_type", date_key("ts").alias("date_key"))
     ingest.upsert_batches(stream, out, checkpoint, ["date_key"], merge)
     return spark.read.schema("user_id bigint, event_type string, event_id bigint, date_key int").parquet(out)

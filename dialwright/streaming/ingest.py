@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import and_
+import datetime as dt
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dialwright.operators import timeseries
 from dialwright.sources.readers import is_missing
@@ -103,89 +105,156 @@ def upsert_batches(
             aside = f"{checkpoint.rstrip('/')}-merged/batch={batch_id}"
             write_table(merge(batch, current), aside)
             replace_partition(spark.read.schema(shape).parquet(aside), table, partition_keys)
+            drop_table(spark, aside)
         finally:
             batch.unpersist()
 
     return run_available(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
+class _MeterDelta:
+    """One series of a stream: its state is the last emitted reading and the readings that wait for their turn."""
+
+    def __init__(self, fields: T.StructType, result: T.StructType, ts: str, value: str, order: list[str], grace_ms: int) -> None:
+        self.names, self.result, self.grace_ms = fields.names, result, grace_ms
+        self.ts, self.value = (fields.names.index(c) for c in (ts, value))
+        self.order = [fields.names.index(c) for c in order]
+
+    def _place(self, row: tuple) -> list[tuple]:
+        """Order of readings, missing values first."""
+        return [(row[i] is not None, row[i]) for i in self.order]
+
+    def _due(self, row: tuple) -> int:
+        """The millisecond from which a reading may be emitted; one without a time is due at once."""
+        at = row[self.ts]
+        return 0 if at is None else -((_EPOCH - at) // dt.timedelta(milliseconds=1))
+
+    def __call__(self, key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, waiting = state.get if state.exists else (None, [])
+        last, waiting = last and tuple(last), [tuple(r) for r in waiting or []]
+        found = []
+        for part in parts:
+            for row in _python_rows(part[self.names]):
+                if last is not None and self._place(row) < self._place(last):
+                    found.append((*key, *row, None, True))
+                else:
+                    waiting.append(row)
+        now = state.getCurrentWatermarkMs() + self.grace_ms
+        waiting.sort(key=self._place)
+        rest = []
+        for row in waiting:
+            if self._due(row) >= now:
+                rest.append(row)
+                continue
+            before = None if last is None else last[self.value]
+            step = None if before is None or row[self.value] is None or row[self.value] < before else row[self.value] - before
+            found.append((*key, *row, step, False))
+            last = row
+        state.update((last, rest))
+        if rest:
+            # A timeout has to lie ahead of the watermark.
+            state.setTimeoutTimestamp(max(min(map(self._due, rest)) - self.grace_ms, now - self.grace_ms + 1))
+        if found:
+            columns = zip(*found, strict=True)
+            yield pd.DataFrame({f.name: pd.Series(list(c), dtype=object) for f, c in zip(self.result, columns, strict=True)})
+
+
+def _python_rows(part: pd.DataFrame) -> Iterator[tuple]:
+    """Rows with missing values as None and whole numbers as such."""
+    columns = []
+    for name in part:
+        column = part[name]
+        if pd.api.types.is_datetime64_any_dtype(column):
+            values = column.dt.to_pydatetime() if column.notna().all() else [None if pd.isna(v) else v.to_pydatetime() for v in column]
+            columns.append(list(values))
+        else:
+            columns.append([None if pd.isna(v) else v for v in column.tolist()])
+    return zip(*columns, strict=True)
+
+
+_EPOCH = dt.datetime(1970, 1, 1)
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State outside the heap, saved as changes; a running query keeps its store."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _interval_ms(spark: SparkSession, text: str) -> int:
+    span = spark.sql(f"SELECT timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', timestamp_ntz'1970-01-01' + INTERVAL {text}) AS n")
+    return span.first()["n"] // 1000
+
+
 def stream_meter_delta(
     stream: DataFrame,
     series: list[str],
     ts: str,
     value: str,
     table: str,
-    state: str,
     checkpoint: str,
     out: str = "delta",
     tie: list[str] | None = None,
     delay: str = "0 seconds",
+    late_for: str = "365 days",
 ) -> StreamingQuery:
-    """Reset-aware meter deltas over a stream of files.
-
-    Readings may arrive up to ``delay`` behind the newest one of the stream:
-    until then they wait in the state beside the last emitted reading of their
-    series, and are emitted in time order.  :func:`pending_meter_delta` gives
-    the deltas of what still waits.  A reading older than the last emitted one
-    of its series comes too late and goes to ``<table>-late`` unchanged.
-
-    State is a small table, one version per micro-batch; only the version a
-    replay would need is kept besides the newest.  Each batch is united with
-    the version before it and goes through the batch operator, so a dominant
-    series is spread over its time buckets.  A replayed batch reads the same
-    version and rewrites its own output folder, which makes the result
-    exactly-once.
-    """
-    order = [ts, *(tie or [])]
-    place = F.struct(*order)
+    """Reset-aware meter deltas over a stream of files, with keyed state.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.withColumn("__emitted", F.lit(False))
-        known = spark.createDataFrame([], state_schema)
-        if batch_id > 0:
-            known = spark.read.schema(state_schema).parquet(f"{state}/version={batch_id - 1}")
-        marks = known.filter("__emitted").select(*[F.col(s).alias(f"__of_{s}") for s in series], place.alias("__last"))
-        same = reduce(and_, (F.col(s).eqNullSafe(F.col(f"__of_{s}")) for s in series), F.lit(True))
-        judged = fresh.join(marks, same, "left").withColumn("__late", F.coalesce(place < F.col("__last"), F.lit(False)))
-        judged = judged.drop("__last", *[f"__of_{s}" for s in series]).persist()
-        try:
-            write_table(judged.filter("__late").drop("__late", "__emitted"), f"{table}-late/batch={batch_id}")
-            rows = judged.filter("NOT __late").drop("__late").unionByName(known).persist()
-            try:
-                newest = rows.agg(F.max(ts).alias("t")).select((F.col("t") - F.expr(f"INTERVAL {delay}")).alias("t")).scalar()
-                ready = F.col("__emitted") | (F.col(ts) <= newest)
-                delta = timeseries.meter_delta(rows, series, ts, value, out, tie)
-                write_table(delta.filter(ready & ~F.col("__emitted")).drop("__emitted"), f"{table}/batch={batch_id}")
-                columns = [c for c in stream.columns if c not in series]
-                last = rows.filter(ready).groupBy(*series).agg(F.max_by(F.struct(*columns), place).alias("__row"))
-                kept = last.select(*series, "__row.*", F.lit(True).alias("__emitted"))
-                waiting = rows.filter(~ready)
-                write_table(kept.unionByName(waiting), f"{state}/version={batch_id}")
-            finally:
-                rows.unpersist()
-        finally:
-            judged.unpersist()
-        drop_table(spark, f"{state}/version={batch_id - 2}")
+    Readings wait in the state of their series until the newest reading of the
+    stream is ``delay`` ahead of them, and are then emitted in time order by an
+    event-time timer.  :func:`pending_meter_delta` gives the deltas of what still
+    waits.  A reading older than the last emitted one of its series comes too
+    late and is emitted at once with ``is_late`` and no delta.  What comes later
+    than ``delay`` and ``late_for`` together is dropped by Spark and counted in
+    the query's progress.
 
-    state_schema = stream.withColumn("__emitted", F.lit(False)).schema
-    return run_available(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    The state is the last reading and the waiting ones of each series, in
+    RocksDB; a batch touches the series that it brings or that are due, and no
+    table is rewritten.  Output is appended exactly once.  A series is one key:
+    its readings of one batch are handled by one task.  ``ts`` is a timestamp
+    without a zone.
+    """
+    spark = stream.sparkSession
+    order = [ts, *(tie or [])]
+    fields = T.StructType([f for f in stream.schema.fields if f.name not in series])
+    result = T.StructType(
+        [*[stream.schema[s] for s in series], *fields.fields, T.StructField(out, stream.schema[value].dataType), T.StructField("is_late", T.BooleanType())]
+    )
+    grace_ms = _interval_ms(spark, late_for)
+    marked = _with_watermark(stream, ts, f"{_interval_ms(spark, delay) + grace_ms} milliseconds")
+    state = T.StructType([T.StructField("last", fields), T.StructField("waiting", T.ArrayType(fields))])
+    deltas = marked.groupBy(*series).applyInPandasWithState(
+        _MeterDelta(fields, result, ts, value, order, grace_ms), result, state, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    with _state_in_rocksdb(spark):
+        return ingest_new_files(deltas, table, checkpoint)
 
 
 def pending_meter_delta(
     spark: SparkSession,
-    stream: DataFrame,
+    checkpoint: str,
     series: list[str],
     ts: str,
     value: str,
-    state: str,
     out: str = "delta",
     tie: list[str] | None = None,
 ) -> DataFrame:
-    """Deltas of the readings that wait in the newest state of :func:`stream_meter_delta`."""
-    schema = stream.withColumn("__emitted", F.lit(False)).schema
-    versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])).parquet(state)
-    newest = versions.agg(F.max("version").alias("v")).scalar()
-    rows = versions.filter(F.col("version") == newest).drop("version")
-    delta = timeseries.meter_delta(rows, series, ts, value, out, tie)
+    """Deltas of the readings that wait in the state of :func:`stream_meter_delta`."""
+
+    with _state_in_rocksdb(spark):
+        states = spark.read.format("statestore").option("path", checkpoint).load().select("key.*", "value.groupState.*")
+        waiting = states.select(*series, F.inline("waiting"), F.lit(False).alias("__emitted"))
+        last = states.filter("last IS NOT NULL").select(*series, "last.*", F.lit(True).alias("__emitted"))
+        rows = waiting.unionByName(last)
+        delta = timeseries.meter_delta(rows, series, ts, value, out, tie)
     return delta.filter("NOT __emitted").drop("__emitted")
