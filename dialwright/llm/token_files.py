@@ -97,15 +97,17 @@ def write_token_files(
     Range partitions on the key give one file each; a file's name holds its
     partition, and a retried or speculative task writes another name, which only
     the index of the successful attempt mentions.  A null text is empty and gives
-    the end id alone, null keys come first, repeated keys keep all their rows.
+    the end id alone, null keys come first, repeated keys keep all their rows, in
+    the order of a hash of their texts, which also splits a key of very many rows.
     The folder must be reachable by all executors.
     """
     prepare(docs.sparkSession)
     index = f"{folder}/index"
     ordered = (
-        docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("__text"))
-        .repartitionByRange(F.col("key"))
-        .sortWithinPartitions("key")
+        docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("__text"), F.xxhash64(text).alias("__tie"))
+        .repartitionByRange("key", "__tie")
+        .sortWithinPartitions("key", "__tie")
+        .drop("__tie")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

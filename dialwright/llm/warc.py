@@ -28,6 +28,8 @@ FAN_OUT = 16
 RECORD_DATE = "2024-01-01T00:00:00Z"  # files are reproducible: the date is a parameter, not the clock
 _LENGTH = re.compile(rb"(?im)^content-length:\s*(\d+)\s*$")
 
+FILES_PER_TASK = 4  # so a task writes some thousand records, whatever the size of the table
+
 
 def warc_record(number: int | None, url: str | None, body: str | None, date: str = RECORD_DATE) -> bytes:
     """One WARC/1.1 resource record; its id is derived from the content."""
@@ -45,8 +47,8 @@ def warc_record(number: int | None, url: str | None, body: str | None, date: str
 def write_warc(pages: DataFrame, folder: str, *, records_per_file: int = 1024, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write pages as gzipped WARC files, one member per record; returns the record index.
 
-    Pages are dealt into files by a hash of key and URL and ordered inside by
-    key, URL and body, so files and offsets do not depend on partitions.  A
+    Pages are dealt into files by a hash of key, URL and body and ordered inside
+    by the same, so files and offsets do not depend on partitions.  A
     retried task writes another file name, which only the successful attempt's
     index mentions.  Index: ``warc_file`` (logical number), ``path``, ``ordinal``,
     ``page_id``, ``offset``, ``size`` (of the compressed member).  Null keys,
@@ -57,8 +59,8 @@ def write_warc(pages: DataFrame, folder: str, *, records_per_file: int = 1024, k
     files = max(1, -(-pages.count() // records_per_file))
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     dealt = (
-        rows.withColumn("warc_file", F.pmod(F.xxhash64("page_id", "url"), F.lit(files)))
-        .repartition("warc_file")
+        rows.withColumn("warc_file", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(files)))
+        .repartition(-(-files // FILES_PER_TASK), "warc_file")
         .sortWithinPartitions("warc_file", "page_id", "url", "html")
     )
 
@@ -74,7 +76,7 @@ def write_warc(pages: DataFrame, folder: str, *, records_per_file: int = 1024, k
                         out.close()
                     current, name, at, ordinal = of, f"pages-{of:06d}-{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{path}/{name}", compression=None, buffer_size=1 << 20)
-                member = gzip.compress(warc_record(number, address, body), compresslevel=1, mtime=0)
+                member = gzip.compress(warc_record(number, address, body), compresslevel=6, mtime=0)
                 out.write(member)
                 index.append((of, name, ordinal, number, at, len(member)))
                 at += len(member)
