@@ -18,7 +18,7 @@ from dialwright.functions.calendar import day_before, is_weekend
 from dialwright.functions.keys import assign_keys, date_key
 from dialwright.functions.text import code_label, initials, room_parts, unit_name
 from dialwright.operators import scans
-from dialwright.operators.joins import new_members
+from dialwright.operators.joins import align_outer, new_members
 
 
 def with_metadata(members: DataFrame, meta: DataFrame, on: str, fallbacks: dict[str, Column]) -> DataFrame:
@@ -198,9 +198,9 @@ def _changed(watch: list[str]) -> Column:
 
 
 def _beside(dim: DataFrame, src: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer join with the source columns prefixed ``__new_``."""
+    """Outer alignment with the source columns prefixed ``__new_``."""
     incoming = src.select(*on, *[F.col(c).alias(f"__new_{c}") for c in src.columns if c not in on])
-    return dim.withColumn("__old", F.lit(True)).join(incoming.withColumn("__new", F.lit(True)), on, "full")
+    return align_outer(dim.withColumn("__old", F.lit(True)), incoming.withColumn("__new", F.lit(True)), on)
 
 
 def upsert_on_change(

@@ -52,8 +52,14 @@ def new_members(src: DataFrame, dim: DataFrame, key: list[str]) -> DataFrame:
 
 
 def align_outer(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer alignment; keys come from whichever side has them."""
-    return a.join(b, on, "full")
+    """Full outer alignment; keys come from whichever side has them, and a missing key matches nothing.
+
+    A full join with a key that holds a large part of both sides stays in one
+    task.  A left join and the rows of ``b`` that it does not meet give the same
+    rows, and AQE splits a skewed left side of either.
+    """
+    only_b = b.join(a.select(*on), on, "left_anti")
+    return a.join(b, on, "left").unionByName(only_b, allowMissingColumns=True)
 
 
 def join_on(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

@@ -271,3 +271,38 @@ def test_price_at_an_instant(spark):
     double = tariff.unionByName(tariff.filter("price = 3").withColumn("f", F.lit(at("08:00")).cast("timestamp_ntz")))
     with pytest.raises(Exception, match="two values of price"):
         joins.price_at_instant(fact, double, "ts", "price", "f", "t", by={"kind": "name"}).collect()
+
+
+def test_outer_alignment_of_a_hot_key(spark):
+    """Equal to a full join with a third of both sides at one key and missing keys; no full join in the plan."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 != 0, F.col("id"))
+    a = spark.range(90).select(key.alias("k"), F.col("id").alias("x"))
+    b = spark.range(30, 150).select(key.alias("k"), F.col("id").alias("y"))
+    found, expected = joins.align_outer(a, b, ["k"]), a.join(b, ["k"], "full")
+    assert found.columns == expected.columns
+    assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
+    assert "FullOuter" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_outer_alignment_is_split_by_aqe(spark):
+    """A key that holds most of the left side is read by several tasks."""
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {name: spark.conf.get(name, None) for name in options}
+    try:
+        for name, value in options.items():
+            spark.conf.set(name, value)
+        hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+        a = spark.range(0, 60_000, 1, 8).select(hot.alias("k"), F.md5(F.col("id").cast("string")).alias("x"))
+        b = spark.range(60_000).select(F.col("id").alias("k"), F.col("id").alias("y"))
+        found = joins.align_outer(a, b, ["k"])
+        assert len(found.collect()) == a.join(b, ["k"], "full").count()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
