@@ -169,14 +169,24 @@ def booking_fact(
 
 
 def prediction_fact(
-    kinds: list[tuple[DataFrame, str, str]], models: DataFrame, run_date_key: int
+    kinds: list[tuple[DataFrame, str, str]], models: DataFrame, run_date_key: int, unknown: str = "raise"
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions of several models in one table.
 
     Each kind is ``(predictions, model code, target column)`` where the
     predictions have ``ts`` and ``value``.  Columns of the other kinds are NULL,
-    and so are the actuals until they are back-filled.
+    and so are the actuals until they are back-filled.  A code that ``models``
+    lacks stops the load before anything is read; ``unknown="reject"`` returns
+    its rows as rejects instead.
     """
+    if unknown not in ("raise", "reject"):
+        raise ValueError(f"unknown setting {unknown!r}: use 'raise' or 'reject'")
+    if unknown == "raise":
+        codes = {code for _, code, _ in kinds}
+        # As many rows as there are codes at most.
+        known = models.filter(F.col("model_code").isin(*codes)).select("model_code").distinct().collect()
+        if missing := codes - {r["model_code"] for r in known}:
+            raise LookupError(f"no model with code {', '.join(sorted(missing))}; load the models first")
     parts = [
         stamped(df, "ts").select(
             "date_key", "time_key", F.lit(code).alias("model_code"), F.col("value").cast("double").alias(target), "ts"

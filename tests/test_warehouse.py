@@ -306,3 +306,15 @@ def test_outer_alignment_is_split_by_aqe(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_predictions_of_an_unknown_model_stop_the_load(spark):
+    models = local_frame(spark, [(1, "P")], "model_key bigint, model_code string")
+    values = local_frame(spark, [(dt.datetime(2024, 1, 1), 2.0)], "ts timestamp_ntz, value double")
+    kinds = [(values, "P", "predicted_production_kwh"), (values, "C", "predicted_consumption_kwh")]
+    with pytest.raises(LookupError, match="no model with code C"):
+        facts.prediction_fact(kinds, models, 20240102)
+    good, rejects = facts.prediction_fact(kinds, models, 20240102, unknown="reject")
+    assert (good.count(), [r["model_code"] for r in rejects.collect()]) == (1, ["C"])
+    with pytest.raises(ValueError, match="unknown setting"):
+        facts.prediction_fact(kinds, models, 20240102, unknown="skip")
