@@ -41,17 +41,18 @@ totals AS (SELECT count(*) AS k, sum(n) AS n FROM sizes),
 rates AS (SELECT source, 1.0 / k * totals.n::DOUBLE / sizes.n AS rate FROM sizes, totals),
 terms AS (
   SELECT source, i, exp(-rate + i * ln(rate) - lgamma(i + 1.0)) AS p
-  FROM rates, generate_series(0, 200) g(i)
+  FROM rates, generate_series(0, (SELECT CAST(ceil(max(rate) + 12 * sqrt(max(rate)) + 24) AS BIGINT) FROM rates)) g(i)
 ),
 cdf AS (SELECT source, i, sum(p) OVER (PARTITION BY source ORDER BY i) AS c FROM terms),
+named AS (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS name FROM documents),
 draws AS (
-  SELECT *, ('0x' || substr(md5('7:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents
+  SELECT *, ('0x' || substr(md5('7:' || name), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM named
 ),
 counted AS (
   SELECT d.doc_id, count(*) AS n FROM draws d JOIN cdf c ON c.source = d.source AND c.c <= d.u GROUP BY d.doc_id
 )
-SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, j::INT AS copy, md5('8:' || d.doc_id || ':' || j) AS shuffle_key
-FROM documents d JOIN counted USING (doc_id), generate_series(0, n - 1) s(j)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, j::INT AS copy, md5('8:' || d.name || ':' || j) AS shuffle_key
+FROM named d JOIN counted USING (doc_id), generate_series(0, n - 1) s(j)
 """
 
 

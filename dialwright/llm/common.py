@@ -11,7 +11,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from dialwright.session import shared_dir
 
@@ -61,6 +62,15 @@ def drop_stored(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def first_of_each(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per key: the one whose text has the smallest hash, so a rerun keeps the same text.
+
+    Spark keeps one row per key and task before the shuffle, so a frequent key is no hot group.
+    """
+    place = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
+    return df.withColumn("__place", F.row_number().over(place)).where("__place = 1").drop("__place")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,8 +1,8 @@
 """Mix sources to target weights by Poisson replication.
 
 A document of a source whose target rate is r appears Poisson(r) times.  The
-draw inverts the distribution at a number hashed from seed and key, so a rerun,
-a retry or another partitioning gives the same corpus.
+draw inverts the distribution at a number hashed from seed, key and text, so a
+rerun, a retry or another partitioning gives the same corpus.
 """
 
 from __future__ import annotations
@@ -77,23 +77,30 @@ def mix(
     budget_rows: float | None = None,
     seed: int = 7,
     key: str = "doc_id",
+    text: str | None = "text",
     source: str = "source",
 ) -> DataFrame:
     """``docs`` with every row repeated by its draw, in a global random order.
 
     Adds ``copy`` (from 0) and ``shuffle_key``, which replace columns of those
     names; range partitions of ``shuffle_key``, sorted inside, are the order.
-    All other columns are kept.  A null source is a source of its own; rows
-    with equal or null keys share their draw but keep their own rows; an empty
-    table gives an empty result.
+    All other columns are kept.  Draw and place depend on key and text, so rows
+    without a key or with a common one are drawn apart and spread like others;
+    only rows equal in both share their draw, and each keeps its own copies.
+    ``text=None`` is for tables whose keys are unique.  A null key or text
+    counts as empty, a null source is a source of its own; an empty table gives
+    an empty result.
 
     The rates are a stored table of one row per source: Spark joins it by
     broadcast when the file is small, so texts move once, in the final shuffle.
     """
     rates = stored(source_rates(docs, weights, budget_rows=budget_rows, source=source), "source-rates")
     keyed = docs.withColumn("__source", F.coalesce(F.col(source), F.lit("\0")))
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    drawn = keyed.join(rates, "__source").withColumn("__u", uniform(F.lit(seed), name))
+    known = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    own = known if text is None else F.concat_ws(":", known, F.md5(F.coalesce(F.col(text), F.lit(""))))
+    name = F.col("__name")
+    named = keyed.withColumn("__name", own).join(rates, "__source")
+    drawn = named.withColumn("__u", uniform(F.lit(seed), name))
 
     def quantile(u: Column) -> Column:
         return F.size(F.filter("__cdf", lambda c: c <= u))
@@ -117,5 +124,6 @@ def mix(
         dealt = blocks.repartition(F.xxhash64(name, "__from"))
         last = F.least(F.col("__from") + (BLOCK - 1), F.col("__n") - 1)
         copies = few.union(dealt.withColumn("copy", F.explode(F.sequence("__from", last))).drop("__n", "__from"))
-    place = F.md5(F.concat_ws(":", F.lit(seed + 1), F.coalesce(F.col(key).cast("string"), F.lit("")), "copy"))
-    return copies.withColumn("shuffle_key", place).repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
+    place = F.md5(F.concat_ws(":", F.lit(seed + 1), name, "copy"))
+    placed = copies.withColumn("shuffle_key", place).drop("__name")
+    return placed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")

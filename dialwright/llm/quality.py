@@ -58,17 +58,23 @@ def trusted_ids(labels: DataFrame, *, most: int = TRUSTED_DOCUMENTS, key: str =
     return good.orderBy(F.xxhash64(key), key).limit(most).select(F.col(key).alias("__trusted"))
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def bucket_weights(
+    docs: DataFrame, trusted: DataFrame, *, most: int = TRUSTED_DOCUMENTS, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``bucket`` and ``weight``: the log ratio of every bucket that the corpus fills.
 
     Counts cover all n-grams of all documents; they are summed per bucket before
     the shuffle, so a frequent word costs one row per task.  Both multinomials
     get pseudo-counts of the same weight (``SMOOTHING`` per bucket on the scale
     of the trusted one), so a rare bucket's ratio stays near 1 whether or not
-    its texts are labelled.  Without any trusted text all weights are 0.
+    its texts are labelled.  Without any trusted text all weights are 0.  More
+    than ``most`` trusted keys raise: choosing among them is the caller's part.
     """
-    # The trusted sample has a fixed bound; joined this way no text is shuffled.
-    sample = F.broadcast(trusted.distinct().limit(TRUSTED_DOCUMENTS))
+    chosen = stored(trusted.distinct(), "trusted-keys")
+    if chosen.count() > most:
+        raise ValueError(f"more than {most} trusted keys; choose with trusted_ids(most={most}) or raise the bound")
+    # The sample's size is checked; joined this way no text is shuffled.
+    sample = F.broadcast(chosen)
     marked = docs.select(key, text).join(sample, F.col(key) == F.col("__trusted"), "left")
     flagged = marked.select(F.col("__trusted").isNotNull().cast("long").alias("__good"), F.col(text).alias("__text"))
     singles, pairs = _gram_buckets("__hashes")
@@ -132,6 +138,7 @@ def score_documents(
     trusted: DataFrame,
     *,
     threshold: float = THRESHOLD,
+    most: int = TRUSTED_DOCUMENTS,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -146,7 +153,7 @@ def score_documents(
     are broadcast.  A document's n-grams are summed in its own task; one row per
     document is shuffled.
     """
-    weights = bucket_weights(docs, trusted, key=key, text=text)
+    weights = bucket_weights(docs, trusted, most=most, key=key, text=text)
     body = docs.select(
         F.monotonically_increasing_id().alias("__row"),
         F.col(key).alias("__key"),

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialwright.llm.common import prepare, stored
+from dialwright.llm.common import first_of_each, prepare, stored
 from dialwright.llm.graph import components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -233,11 +233,12 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, *, radius: int = 3, shingle_words: int = 3, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near-duplicates the one with the smallest key.
 
-    Rows with the same key are one document and one of them stays.  Rows
+    Rows with the same key are one document and the one whose text has the
+    smallest hash stays.  Rows
     without a key cannot be named and all stay.
     """
     grouped = near_duplicates(docs, radius=radius, shingle_words=shingle_words, key=key)
     stay = grouped.where(F.col("component_id") == F.col(key)).select(F.col(key).alias("__kept")).distinct()
-    # Join and de-duplication share the partitioning on the key: texts move once.
-    kept = docs.join(stay, F.col(key) == F.col("__kept"), "left_semi").dropDuplicates([key])
+    # Join and choice share the partitioning on the key: texts move once.
+    kept = first_of_each(docs.join(stay, F.col(key) == F.col("__kept"), "left_semi"), key, "text")
     return kept.union(docs.where(F.col(key).isNull()))

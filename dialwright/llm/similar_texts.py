@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialwright.llm.common import prepare, runs, stored
+from dialwright.llm.common import first_of_each, prepare, runs, stored
 from dialwright.llm.graph import components
 from dialwright.llm.simhash import _LOWER, BKTree, _with_end
 
@@ -267,8 +267,10 @@ def similar_texts(
     )
     groups = components(candidate_links(classes))
     wanted = classes.join(groups, "node").select("component", "node", "low", "high", "words")
-    # Copies are combined before the shuffle; of each class with a candidate one text goes on.
-    texts = docs.groupBy(F.xxhash64(text).alias("words")).agg(F.first(text).alias("text"))
+    # Only texts of classes with a candidate move; copies are combined before the shuffle.
+    asked = wanted.select(F.col("words").alias("__asked")).distinct()
+    held = docs.join(asked, F.xxhash64(text) == F.col("__asked"), "left_semi")
+    texts = held.groupBy(F.xxhash64(text).alias("words")).agg(F.first(text).alias("text"))
     members = stored(
         _shingle_sets(wanted.join(texts, "words").select("component", "node", "low", "high", "text"), shingle_words), "shingle-sets"
     )
@@ -282,11 +284,12 @@ def similar_texts(
 def one_of_each(docs: DataFrame, *, similarity: float = 0.8, shingle_words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of similar texts the one with the smallest key.
 
-    Rows with the same key are one document and one of them stays.  Rows
+    Rows with the same key are one document and the one whose text has the
+    smallest hash stays.  Rows
     without a key cannot be named and all stay.
     """
     grouped = similar_texts(docs, similarity=similarity, shingle_words=shingle_words, key=key, text=text)
     stay = grouped.where("component_id = key").select(F.col("key").alias("__kept")).distinct()
-    # Join and de-duplication share the partitioning on the key: texts move once.
-    kept = docs.join(stay, F.col(key) == F.col("__kept"), "left_semi").dropDuplicates([key])
+    # Join and choice share the partitioning on the key: texts move once.
+    kept = first_of_each(docs.join(stay, F.col(key) == F.col("__kept"), "left_semi"), key, text)
     return kept.union(docs.where(F.col(key).isNull()))

@@ -15,7 +15,8 @@ next occurrence.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,14 +29,38 @@ _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _COUNTERS: dict[str, PrefixCounter] = {}
 
 
+class Remembered(dict):
+    """Values of ``compute`` by argument, in two generations.
+
+    When the younger one is full it becomes the older one, whose values return
+    on their next use; so what is used often survives and at most ``most`` are
+    kept.
+    """
+
+    def __init__(self, compute: Callable[[Any], Any], most: int) -> None:
+        super().__init__()
+        self.compute, self.half, self.older = compute, most // 2, {}
+
+    def __missing__(self, key: Any) -> Any:
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class PrefixCounter:
     """Exact token counts of all prefixes of a text, for one sentencepiece BPE model.
 
-    ``kept_words`` bounds the remembered words and prefixes of a worker; what is
-    forgotten is computed again, so the bound changes time, not results.
+    ``kept_words`` bounds the words that a worker remembers and ``kept_pairs``
+    the judged neighbours; what is forgotten is computed again, so the bounds
+    change time, not results.
     """
 
-    def __init__(self, model_path: str, kept_words: int = 400_000) -> None:
+    def __init__(self, model_path: str, kept_words: int = 400_000, kept_pairs: int = 1_000_000) -> None:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -46,14 +71,22 @@ class PrefixCounter:
             if not any(is_special(i) for is_special in special)
         }
         # A piece that its own characters do not merge into never appears.
-        self.pieces = {p for p in self.scores if len(p) == 1 or self.merged(p) == [p]}
-        self.longest = max(map(len, self.pieces))
+        self.pieces = [p for p in self.scores if len(p) == 1 or self.merged(p) == [p]]
         self.known = {p for p in self.scores if len(p) == 1}
-        self.kept_words = kept_words
-        self.stable: dict[tuple[str, str], bool] = {}
-        self.states: dict[str, tuple[int, str]] = {}
-        self.after_space: dict[str, int] = {}
-        self.bare: dict[str, int] = {}
+        self.ending = self._by_ending()
+        self.stable = Remembered(self._is_stable, kept_pairs)
+        self.after_space = Remembered(lambda word: self.segment_counts(SPACE + word)[-1], kept_words)
+        self.bare = Remembered(lambda word: self.segment_counts(word)[-1], kept_words)
+
+    def _by_ending(self) -> dict:
+        """Pieces from their last character to the first, as nested dictionaries; ``""`` holds a piece's number."""
+        root: dict = {}
+        for number, piece in enumerate(self.pieces):
+            node = root
+            for character in reversed(piece):
+                node = node.setdefault(character, {})
+            node[""] = number
+        return root
 
     def merged(self, text: str) -> list[str]:
         """The tokens of a few characters, by the merge order itself."""
@@ -70,37 +103,32 @@ class PrefixCounter:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _next(self, run: str, end: int, states: list[tuple[int, str]]) -> tuple[int, str]:
-        """Count and last token of ``run[:end]``; ``states`` holds those of shorter prefixes."""
-        pieces, stable = self.pieces, self.stable
-        for start in range(max(0, end - self.longest), end):
-            last = run[start:end]
-            if last in pieces:
-                if start == 0:
-                    return 1, last
-                count, before = states[start - 1]
-                pair = before, last
-                fits = stable.get(pair)
-                if fits is None:
-                    fits = stable[pair] = self.merged(before + last) == [before, last]
-                if fits:
-                    return count + 1, last
-        raise ValueError(f"no token ends {run[:end]!r}")
+    def _is_stable(self, pair: int) -> bool:
+        """Whether two neighbours (their numbers in one) stay apart when their characters are merged."""
+        before, last = (self.pieces[number] for number in divmod(pair, len(self.pieces)))
+        return self.merged(before + last) == [before, last]
 
     def _run_counts(self, run: str) -> list[int]:
         """Counts at every prefix of characters that are all in the vocabulary."""
-        memo = self.states
-        short = len(run) <= 32
-        states: list[tuple[int, str]] = []
-        for end in range(1, len(run) + 1):
-            prefix = run[:end] if short else ""
-            state = memo.get(prefix) if short else None
-            if state is None:
-                state = self._next(run, end, states)
-                if short:
-                    memo[prefix] = state
-            states.append(state)
-        return [count for count, _ in states]
+        stable, ending, size = self.stable, self.ending, len(self.pieces)
+        counts: list[int] = []
+        lasts: list[int] = []
+        for end in range(len(run)):
+            node, start = ending, end
+            # Exactly one of the pieces that end here is stable next to what stands before it.
+            while True:
+                node = node[run[start]]
+                last = node.get("")
+                if last is not None:
+                    if start == 0:
+                        counts.append(1)
+                        break
+                    if stable[lasts[start - 1] * size + last]:
+                        counts.append(counts[start - 1] + 1)
+                        break
+                start -= 1
+            lasts.append(last)
+        return counts
 
     def segment_counts(self, segment: str) -> list[int]:
         """Counts at every prefix of a word with the spaces before it.
@@ -126,41 +154,30 @@ class PrefixCounter:
                 at += 1
         return counts
 
-    def _forget(self) -> None:
-        for kept in (self.states, self.after_space, self.bare, self.stable):
-            if len(kept) > self.kept_words:
-                kept.clear()
-
     def count(self, text: str) -> int:
         """Tokens of the whole text: the last entry of its prefix table."""
         if not text:
             return 0
-        self._forget()
         lines = text.split("\n")
         newline = 0 if len(lines) == 1 else self.segment_counts("\n")[-1]
         total = newline * (len(lines) - 1)
-        known_words, first = self.after_space, True
+        first = True
         for line in lines:
             words = line.split(" ")
             if "" in words or SPACE in line:
                 written = (SPACE if first else "") + line.replace(" ", SPACE)
-                total += sum(self.segment_counts(run)[-1] for run in _RUNS.findall(written))
+                total += sum(map(self._total, _RUNS.findall(written)))
             else:
-                try:
-                    total += sum(map(known_words.__getitem__, words[not first :]))
-                except KeyError:
-                    for word in words[not first :]:
-                        if word not in known_words:
-                            known_words[word] = self.segment_counts(SPACE + word)[-1]
-                    total += sum(map(known_words.__getitem__, words[not first :]))
+                total += sum(map(self.after_space.__getitem__, words[not first :]))
                 if not first:
-                    word = words[0]
-                    if word not in self.bare:
-                        self.bare[word] = self.segment_counts(word)[-1]
-                    total += self.bare[word]
+                    total += self.bare[words[0]]
             first = False
         return total
 
+    def _total(self, segment: str) -> int:
+        """The last entry of a segment's table."""
+        return self.after_space[segment[1:]] if segment[0] == SPACE else self.bare[segment]
+
     def _segments(self, text: str) -> Iterator[str]:
         written = SPACE + text.replace(" ", SPACE) if text else ""
         for line_number, line in enumerate(written.split("\n")):
@@ -172,7 +189,6 @@ class PrefixCounter:
         """Tokens of ``text[:1]``, ``text[:2]`` and so on to the whole text."""
         counts: list[int] = []
         base = 0
-        self._forget()
         for segment in self._segments(text):
             counts += [base + c for c in self.segment_counts(segment)]
             base = counts[-1]
@@ -180,17 +196,19 @@ class PrefixCounter:
 
     def longest_fit(self, text: str, budget: int) -> int:
         """Characters of the longest prefix of at most ``budget`` tokens."""
-        base, at, best = 0, -1, 0
-        self._forget()
+        begun: list[tuple[int, int, str]] = []
+        base, at = 0, -1
         for segment in self._segments(text):
             if base + 1 > budget:
                 break
-            counts = self.segment_counts(segment)
-            fits = [i for i, c in enumerate(counts) if base + c <= budget]
+            begun.append((base, at, segment))
+            base, at = base + self._total(segment), at + len(segment)
+        # The longest fit ends in the last segment of which any prefix fits.
+        for base, at, segment in reversed(begun):
+            fits = [i for i, c in enumerate(self.segment_counts(segment)) if base + c <= budget]
             if fits:
-                best = max(best, at + fits[-1] + 1)
-            base, at = base + counts[-1], at + len(segment)
-        return best
+                return max(0, at + fits[-1] + 1)
+        return 0
 
 
 def counter(model_path: str) -> PrefixCounter:

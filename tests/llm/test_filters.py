@@ -97,7 +97,8 @@ def test_mixing(spark):
     want = Counter()
     for key, text, source in rows:
         rate = weights.get(source, 0) / 4 * 200 / sizes[source]
-        u = int(hashlib.md5(f"3:{'' if key is None else key}".encode()).hexdigest()[:13], 16) / 2**52
+        name = f"{'' if key is None else key}:{hashlib.md5((text or '').encode()).hexdigest()}"
+        u = int(hashlib.md5(f"3:{name}".encode()).hexdigest()[:13], 16) / 2**52
         want[key, text, source] += poisson_quantile(rate, u) if rate else 0
     assert Counter((r.doc_id, r.text, r.source) for r in mixed.collect()) == +want
     keys = [r.shuffle_key for r in mixed.collect()]
@@ -107,15 +108,31 @@ def test_mixing(spark):
 
 def test_mixing_defaults_to_equal_shares(spark):
     docs = spark.range(9000).selectExpr("id as doc_id", "if(id % 10 < 7, 'a', if(id % 10 < 9, 'b', null)) as source")
-    shares = Counter(r.source for r in mixing.mix(docs).collect())
+    shares = Counter(r.source for r in mixing.mix(docs, text=None).collect())
     assert all(abs(n - 3000) < 250 for n in shares.values()) and set(shares) == {"a", "b", None}
-    assert mixing.mix(docs.limit(0)).count() == 0
+    assert mixing.mix(docs.limit(0), text=None).count() == 0
+
+
+def test_mixing_draws_rows_without_a_key_apart(spark):
+    docs = spark.range(6000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 5, id)) as doc_id", "concat('text ', id) as text", "'a' as source")
+    mixed = mixing.mix(docs).cache()
+    for part in ("doc_id is null", "doc_id = 5"):
+        own = mixed.where(part)
+        assert abs(own.count() - 2000) < 250 and abs(own.select("text").distinct().count() - 2000 * (1 - math.exp(-1))) < 150
+    assert mixed.select("shuffle_key").distinct().count() == mixed.count()
+    assert collected(mixed) == collected(mixing.mix(docs.repartition(5)))
+
+
+def test_more_trusted_keys_than_the_bound_stop_the_count(spark):
+    docs = documents(spark)
+    with pytest.raises(ValueError, match="more than 3 trusted keys"):
+        quality.bucket_weights(docs, docs.selectExpr("doc_id as __trusted"), most=3)
 
 
 def test_mixing_repeats_a_rare_source_as_often_as_its_share_asks(spark):
     n = 9000
     docs = spark.range(n).selectExpr("id as doc_id", "if(id = 5, null, if(id = 6, 'rare', 'common')) as source")
-    mixed = mixing.mix(docs, seed=7).cache()
+    mixed = mixing.mix(docs, seed=7, text=None).cache()
 
     def u(*parts):
         return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 2**52
@@ -209,7 +226,7 @@ def test_audit_finds_exactly_the_damage(spark, per_file):
     assert len(found) == len(PAGES)
     members = Counter()
     for number, url, html in PAGES:
-        member = gzip.compress(warc.warc_record(number, url, html), compresslevel=1, mtime=0)
+        member = gzip.compress(warc.warc_record(number, url, html), compresslevel=6, mtime=0)
         members[hashlib.sha256(member).hexdigest(), warc.damaged(member, 0, 9) == member] += 1
     assert Counter((r.digest, r.intact) for r in found) == members and any(not r.intact for r in found)
 

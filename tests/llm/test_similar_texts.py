@@ -88,3 +88,9 @@ def test_rows_without_a_key_all_stay(spark):
     want = {k for k, least in plain_groups([(k, t) for k, t, _ in texts()]) if k is not None and k == least}
     assert sorted(named) == sorted(want) and keys.count(None) == 2
     assert similar_texts.one_of_each(documents(spark, [])).count() == 0
+
+
+def test_two_texts_under_one_key_leave_the_same_one_each_time(spark):
+    rows = [(1, f"text number {i} has its own words {i * 7} and {i * 13}", "s") for i in range(30)]
+    kept = {similar_texts.one_of_each(documents(spark, rows).repartition(n)).first().text for n in (1, 3, 7)}
+    assert len(kept) == 1
