@@ -12,6 +12,7 @@ from dialwright.examples import (  # noqa: F401
     members,
     parsing,
     raw_files,
+    refreshes,
     reshaping,
     series,
     streams,

@@ -128,6 +128,23 @@ def building_occupation(
     )
 
 
+def energy_slots(
+    consumption: DataFrame, production: DataFrame, environment: DataFrame, all_slots: bool = False
+) -> DataFrame:
+    """Consumption, production and climate per slot.
+
+    By default slots with production but no consumption are left out;
+    ``all_slots`` brings them in.  Facts bucketed by ``date_key`` and
+    ``time_key`` (``sinks.write_bucketed``) meet here without a shuffle, unless
+    ``all_slots`` is set: its merged keys are no longer those of a bucket.
+    """
+    slot = ["date_key", "time_key"]
+    used = consumption.select(*slot, F.col("delta_kwh").alias("consumption_kwh"))
+    made = production.select(*slot, F.col("delta_kwh").alias("production_kwh"))
+    climate = environment.select(*slot, "temperature_c", "humidity_pct")
+    return used.join(made, slot, "full" if all_slots else "left").join(climate, slot, "left")
+
+
 def kpi_home(
     days: DataFrame,
     consumption: DataFrame,
@@ -142,17 +159,13 @@ def kpi_home(
     Days without consumption keep one row.  By default slots with production
     but no consumption are left out; ``all_slots`` brings them in.
     """
-    used = consumption.select("date_key", "time_key", F.col("delta_kwh").alias("__used"))
-    made = production.select("date_key", "time_key", F.col("delta_kwh").alias("__made"))
-    climate = environment.select("date_key", "time_key", "temperature_c", "humidity_pct")
-    slot = ["date_key", "time_key"]
-    slots = used.join(made, slot, "full" if all_slots else "left").join(climate, slot, "left")
+    slots = energy_slots(consumption, production, environment, all_slots)
     failing = device.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("total_readings"), F.count_if("is_failure").alias("failure_readings")
     )
     calendar = days.select("date_key", "full_date", "year", "month")
     joined = calendar.join(slots, "date_key", "left").join(failing, "date_key", "left")
-    kwh = F.coalesce("__used", F.lit(0.0))
+    kwh = F.coalesce("consumption_kwh", F.lit(0.0))
     rate = F.col("failure_readings") * 100.0 / F.col("total_readings")
     return joined.select(
         "full_date",
@@ -161,7 +174,7 @@ def kpi_home(
         "time_key",
         (kwh * F.lit(price).cast("double")).alias("consumption_cost"),
         kwh.alias("consumption_kwh"),
-        F.coalesce("__made", F.lit(0.0)).alias("production_kwh"),
+        F.coalesce("production_kwh", F.lit(0.0)).alias("production_kwh"),
         "temperature_c",
         "humidity_pct",
         "total_readings",

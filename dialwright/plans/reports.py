@@ -26,6 +26,17 @@ def filter_days(fact: DataFrame, first: str | None = None, last: str | None = No
     return fact
 
 
+def during(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of a fact on the given days, usually a filtered calendar.
+
+    Of a fact in folders by ``year`` and ``month`` only the folders of those
+    days are read: Spark takes their values from the calendar's own small
+    result at run time, whatever its filter was (a week, a weekday, a season).
+    """
+    keys = ["date_key", *(c for c in ("year", "month") if c in fact.columns)]
+    return fact.join(days.select(*keys).distinct(), keys, "left_semi")
+
+
 def filter_bar(
     df: DataFrame,
     day: str | None = None,

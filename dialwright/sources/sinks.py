@@ -6,7 +6,7 @@ import uuid
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dialwright import fixed_values as fv
@@ -39,6 +39,48 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         df.write.mode(mode).parquet(path)
 
 
+def write_counted(
+    df: DataFrame,
+    path: str,
+    counts: dict[str, Column] | None = None,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+) -> dict[str, object]:
+    """Write a table and return ``n_rows`` and the named aggregates of the written rows.
+
+    The figures are collected by the tasks that write, so no second job reads
+    the table or computes the rows again.  They stand behind the last shuffle:
+    a lost executor's repeated stages are not counted twice.  Nothing written
+    gives 0 rows, and aggregates as Spark gives them for no rows.
+    """
+    seen = Observation()
+    balanced = _balanced(df, partition_by) if partition_by else df
+    named = [column.alias(name) for name, column in (counts or {}).items()]
+    writer = balanced.observe(seen, F.count(F.lit(1)).alias("n_rows"), *named).write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return seen.get
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Table ``name`` at ``path``, cut into buckets by ``keys`` and sorted inside them; returns it as read back.
+
+    Tables bucketed alike by their join keys meet bucket by bucket: the shuffle
+    is paid once, by the write, and not again by every join.  Choose
+    ``buckets`` so that one holds some hundred megabytes, the same for all
+    tables that meet.  One file per bucket.
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a table's folder; a missing one is fine."""
     folder, fs = _path(spark, path)
@@ -56,18 +98,17 @@ def replace_partition(df: DataFrame, path: str, keys: list[str], runs: list[dict
     Re-running a load therefore replaces its own rows instead of adding to
     them.  A run that now yields nothing is only known by its name: ``runs``
     lists the key values being loaded, and those without rows are cleared.
+    Which ones have rows is seen by the write itself.
     """
-    (
-        _balanced(df, keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+    seen = Observation()
+    balanced = _balanced(df, keys)
     if runs:
         named = [reduce(and_, (F.col(k).eqNullSafe(F.lit(run[k])) for k in keys)) for run in runs]
         # One flag per named run, so what comes back is bounded by ``runs``.
-        filled = df.agg(*(F.max(condition).alias(f"r{i}") for i, condition in enumerate(named))).first()
+        balanced = balanced.observe(seen, *(F.max(condition).alias(f"r{i}") for i, condition in enumerate(named)))
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    if runs:
+        filled = seen.get
         for i, run in enumerate(runs):
             if not filled[f"r{i}"]:
                 folder, fs = _path(df.sparkSession, f"{path.rstrip('/')}/{_partition_folder(run, keys)}")
