@@ -18,7 +18,7 @@ from dialwright.sources import sinks
 BOOKING_KEY = ["date_key", "start_time_key", "room_key", "reservation_no"]
 #: What the first load does not hold: rows of one month that arrive late, and the last months.
 LATE = "date_key BETWEEN 19950301 AND 19950331 AND start_time_key < 720"
-NEW = "date_key >= 19980401"
+NEW = "date_key >= 20010401"
 
 
 def refreshed_occupation(spark, sf_dir, path):
