@@ -166,6 +166,45 @@ def gbt_forecast(spark, sf_dir):
     )
 
 
+cte(
+    "solar_rows",
+    """SELECT ts, delta_kwh AS y FROM {production} JOIN {weather} USING (ts)
+       WHERE irradiance_wm2 IS NOT NULL AND temp_c IS NOT NULL""",
+)
+cte(
+    "naive_rows",
+    """SELECT a.ts, a.y, p.y AS naive, (SELECT avg(y) FROM {solar_rows} WHERE ts < TIMESTAMP '2024-01-25') AS mean
+       FROM {solar_rows} a ASOF LEFT JOIN {solar_rows} p ON a.ts - INTERVAL 1 DAY >= p.ts""",
+)
+
+
+@query("seasonal_naive", "SELECT ts, y AS production_delta_kwh, naive FROM {naive_rows}")
+def seasonal_naive(spark, sf_dir):
+    rows = solar(spark, sf_dir).select("ts", "production_delta_kwh")
+    return forecast.seasonal_naive(rows, "production_delta_kwh")
+
+
+@query(
+    "forecast_skill",
+    """SELECT n_scored, round(naive_rmse, 4) AS naive_rmse, round(mean_rmse, 4) AS mean_rmse,
+              round(1 - mean_rmse / nullif(naive_rmse, 0), 6) AS mean_skill
+       FROM (SELECT count(*) AS n_scored, sqrt(avg(power(naive - y, 2))) AS naive_rmse, sqrt(avg(power(mean - y, 2))) AS mean_rmse
+             FROM {naive_rows} WHERE ts >= TIMESTAMP '2024-01-25' AND naive IS NOT NULL)""",
+)
+def forecast_skill(spark, sf_dir):
+    """Errors of the two yardsticks that any model has to beat: yesterday's value and the training mean."""
+    target = "production_delta_kwh"
+    train, test = forecast.time_split(forecast.seasonal_naive(solar(spark, sf_dir), target), "ts", "2024-01-24")
+    scored = test.withColumn("mean", train.agg(F.avg(target).alias("mean")).scalar())
+    found = forecast.skill(scored, target, ["mean"], against="naive")
+    return found.select(
+        "n_scored",
+        F.round("naive_rmse", 4).alias("naive_rmse"),
+        F.round("mean_rmse", 4).alias("mean_rmse"),
+        F.round("mean_skill", 6).alias("mean_skill"),
+    )
+
+
 @query(
     "model_selection",
     """SELECT algorithm, true AS has_error, CAST(1 AS BIGINT) AS n_best, true AS best_is_lowest

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialwright import fixed_values as fv
-from dialwright.operators import clean
+from dialwright.operators import clean, timeseries
 from dialwright.session import local_frame
 
 _SEED = 7
@@ -80,6 +80,35 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> Data
     return clean.clamp_min(scored, out)
 
 
+def seasonal_naive(
+    df: DataFrame, target: str, out: str = "naive", ts: str = "ts", season: str = "1 day", by: list[str] | None = None
+) -> DataFrame:
+    """Every row with the target's last known value one season earlier, the yardstick of any model.
+
+    The value at exactly the same instant a season before, or the newest one
+    before that; NULL where nothing is that old.  ``by`` names several series.
+    """
+    keys = by or []
+    known = df.filter(F.col(target).isNotNull()).select(*keys, ts, F.col(target).alias(out))
+    asked = df.withColumn("__ts", F.col(ts)).withColumn(ts, F.col(ts) - F.expr(f"INTERVAL {season}"))
+    found = timeseries.asof_join(asked, known, keys, ts, [out], right_tie=[out])
+    return found.withColumn(ts, F.col("__ts")).select(*df.columns, out)
+
+
+def skill(scored: DataFrame, target: str, predictions: list[str], against: str) -> DataFrame:
+    """One row: ``n_scored``, and ``<p>_rmse`` and ``<p>_skill`` of every prediction column.
+
+    Errors cover the rows where target and all predictions are known, so all
+    are judged on the same ones.  Skill is 1 - RMSE / RMSE of ``against``: 1 is
+    perfect, 0 is no better than it, NULL if it makes no error.
+    """
+    known = scored.dropna(subset=list(dict.fromkeys([target, against, *predictions])))
+    square = {p: F.pow(F.col(p) - F.col(target), 2) for p in dict.fromkeys([*predictions, against])}
+    errors = known.agg(F.count(F.lit(1)).alias("n_scored"), *(F.sqrt(F.avg(s)).alias(f"{p}_rmse") for p, s in square.items()))
+    yardstick = F.nullif(F.col(f"{against}_rmse"), F.lit(0.0))
+    return errors.withColumns({f"{p}_skill": 1 - F.col(f"{p}_rmse") / yardstick for p in predictions})
+
+
 def candidates(target: str, trees: int = fv.GBT_TREES) -> dict[str, object]:
     """Four regressors to choose from."""
     common = {"featuresCol": "features", "labelCol": target}

@@ -123,3 +123,30 @@ def test_models_train_select_and_score(spark):
 def test_feature_export_has_text_timestamps(spark):
     df = spark.sql("SELECT timestamp_ntz'2023-03-01 00:15:00' AS ts, 1 AS x")
     assert features.as_text_timestamp(df).collect()[0]["timestamp"] == "2023-03-01 00:15:00"
+
+
+def test_naive_takes_the_value_a_season_before(spark):
+    rows = spark.sql("""SELECT * FROM VALUES (timestamp'2024-01-01 00:00', 1, 10.0), (timestamp'2024-01-01 12:00', 1, 20.0),
+        (timestamp'2024-01-02 00:00', 1, 30.0), (timestamp'2024-01-02 13:00', 1, null), (timestamp'2024-01-03 14:00', 1, 5.0),
+        (timestamp'2024-01-02 01:00', 2, 7.0) AS t(ts, meter, kwh)""")
+    naive = forecast.seasonal_naive(rows, "kwh", by=["meter"])
+    found = [float(r.naive) if r.naive is not None else None for r in naive.orderBy("meter", "ts").collect()]
+    assert found == [None, None, 10.0, 20.0, 30.0, None]
+    report = forecast.skill(naive.withColumn("exact", F.col("kwh")), "kwh", ["exact"], against="naive").first()
+    assert (report.n_scored, report.exact_rmse, report.exact_skill) == (2, 0.0, 1.0)
+    nothing = forecast.skill(naive.filter("false").withColumn("exact", F.col("kwh")), "kwh", ["exact"], against="naive").first()
+    assert nothing.n_scored == 0 and nothing.exact_skill is None
+
+
+def test_boosted_trees_beat_naive_and_mean_where_the_features_tell(spark):
+    hour = F.hour("ts")
+    light = F.when(hour.between(7, 18), F.sin((hour - 6) * 0.25) * (400 + F.pmod(F.xxhash64(F.to_date("ts")), F.lit(400))))
+    rows = spark.sql("SELECT explode(sequence(timestamp'2024-01-01', timestamp'2024-02-09', INTERVAL 1 HOUR)) AS ts").withColumns(
+        {"light": F.coalesce(light, F.lit(0.0)), "temp": F.pmod(F.xxhash64("ts"), F.lit(20)).cast("double")}
+    )
+    rows = rows.withColumn("kwh", F.col("light") * 0.02 + F.col("temp") * 0.01)
+    train, test = forecast.time_split(forecast.seasonal_naive(rows, "kwh"), "ts", "2024-01-31")
+    model = forecast.train_gbt(train, ["light", "temp"], "kwh", trees=10)
+    scored = forecast.predict(model, test, "gbt").withColumn("mean", train.agg(F.avg("kwh").alias("mean")).scalar())
+    found = forecast.skill(scored, "kwh", ["gbt", "mean"], against="naive").first()
+    assert found.n_scored == 9 * 24 - 23 and found.gbt_skill > 0.5 and found.gbt_rmse < 0.5 * found.mean_rmse
