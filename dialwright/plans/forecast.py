@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -19,6 +20,9 @@ from dialwright.session import local_frame
 
 _SEED = 7
 
+# Boosting runs one small job per tree level, so tasks that hold next to nothing cost more than the rows.
+_ROWS_PER_TASK = 20_000
+
 
 def time_split(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFrame]:
     """Rows up to and including the day ``cut`` for training, later rows for testing."""
@@ -51,12 +55,23 @@ def _labelled(df: DataFrame, target: str) -> DataFrame:
 
 @contextmanager
 def _kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a feature table for the several passes of a fit; lost blocks are recomputed."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep a feature table for the several passes of a fit, in as few tasks as its rows allow.
+
+    The number of tasks follows the row count, not the shuffle partitions that
+    made the table.  Lost blocks are recomputed.
+    """
+    spread = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield kept
+        tasks = max(1, math.ceil(spread.count() / _ROWS_PER_TASK))
+        kept = spread.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            kept.count()
+            spread.unpersist()
+            yield kept
+        finally:
+            kept.unpersist()
     finally:
-        kept.unpersist()
+        spread.unpersist()
 
 
 def boosted_trees(

@@ -120,6 +120,17 @@ def test_models_train_select_and_score(spark):
     assert best.transform(rows).count() == 400
 
 
+def test_training_rows_take_as_few_tasks_as_their_number_allows(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("id", "id * 2.0 AS kwh").repartition(50)
+    with forecast._kept(rows) as kept:
+        assert kept.rdd.getNumPartitions() == 1 and kept.count() == 400
+    monkeypatch.setattr(forecast, "_ROWS_PER_TASK", 100)
+    with forecast._kept(rows) as kept:
+        assert kept.rdd.getNumPartitions() == 4 and kept.distinct().count() == 400
+    with forecast._kept(rows.filter("false")) as kept:
+        assert kept.count() == 0
+
+
 def test_feature_export_has_text_timestamps(spark):
     df = spark.sql("SELECT timestamp_ntz'2023-03-01 00:15:00' AS ts, 1 AS x")
     assert features.as_text_timestamp(df).collect()[0]["timestamp"] == "2023-03-01 00:15:00"
