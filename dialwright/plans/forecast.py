@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,6 +14,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from dialwright import fixed_values as fv
 from dialwright.operators import clean, timeseries
@@ -22,6 +24,7 @@ _SEED = 7
 
 # Boosting runs one small job per tree level, so tasks that hold next to nothing cost more than the rows.
 _ROWS_PER_TASK = 20_000
+_LONGEST = "gradient_boosted_trees"
 
 
 def time_split(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFrame]:
@@ -143,30 +146,47 @@ def _fold_edges(rows: DataFrame, ts: str, folds: int) -> list[object]:
 
 
 def select_model(
-    df: DataFrame, features: list[str], target: str, folds: int = 3, trees: int = fv.GBT_TREES, ts: str = "ts"
+    df: DataFrame,
+    features: list[str],
+    target: str,
+    folds: int = 3,
+    trees: int = fv.GBT_TREES,
+    ts: str = "ts",
+    parallelism: int = 4,
 ) -> tuple[DataFrame, object]:
     """Validate every candidate forward in time; the lowest mean RMSE wins.
 
     The time span is cut into ``folds + 1`` parts of about equal row counts.
     Fold i trains on the first i parts and is judged on the next one, so no
-    model sees the future of what it is judged on.  Returns the scores (one row
-    per algorithm) and the winner fitted on all rows.
+    model sees the future of what it is judged on.  ``parallelism`` fits run
+    side by side, as in Spark's own cross validator.  Returns the scores (one
+    row per algorithm) and the winner fitted on all rows.
     """
     evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
+    spark = df.sparkSession
     with _kept(_labelled(df, target)) as rows:
         edges = _fold_edges(rows, ts, folds)
         at = F.unix_micros(F.col(ts).cast("timestamp"))
         means = _means(rows, features)
-        errors: dict[str, list[float]] = {name: [] for name in candidates(target, trees)}
+        splits = []
         for cut, end in zip(edges[1:-1], edges[2:], strict=True):
             past = rows.filter(at < cut)
             ahead = rows.filter((at >= cut) & ((at < end) if end != edges[-1] else (at <= end)))
-            known = _means(past, features)
-            for name, regressor in candidates(target, trees).items():
-                scored = _pipeline(features, regressor, known).fit(past).transform(ahead)
-                errors[name].append(evaluator.evaluate(scored))
-        scores = {name: sum(e) / len(e) for name, e in errors.items()}
+            splits.append((past, ahead, _means(past, features)))
+
+        def error(fit: tuple[str, int]) -> float:
+            name, fold = fit
+            past, ahead, known = splits[fold]
+            model = _pipeline(features, candidates(target, trees)[name], known).fit(past)
+            return evaluator.evaluate(model.transform(ahead))
+
+        names = list(candidates(target, trees))
+        # The longest fits first, so that none of them starts when the others are done.
+        fits = sorted(((n, i) for n in names for i in range(len(splits))), key=lambda f: f[0] != _LONGEST)
+        with ThreadPool(max(1, min(parallelism, len(fits)))) as pool:
+            errors = dict(zip(fits, pool.map(inheritable_thread_target(spark)(error), fits, chunksize=1), strict=True))
+        scores = {n: sum(errors[n, i] for i in range(len(splits))) / len(splits) for n in names}
         best = min(scores, key=scores.get)
         winner = _pipeline(features, candidates(target, trees)[best], means).fit(rows)
     report = [(name, float(rmse), name == best) for name, rmse in scores.items()]
-    return local_frame(df.sparkSession, report, "algorithm string, rmse double, is_best boolean"), winner
+    return local_frame(spark, report, "algorithm string, rmse double, is_best boolean"), winner

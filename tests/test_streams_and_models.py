@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -131,6 +132,25 @@ def test_training_rows_take_as_few_tasks_as_their_number_allows(spark, monkeypat
         assert kept.count() == 0
 
 
+def test_candidates_are_fitted_side_by_side(spark, monkeypatch):
+    rows = spark.range(200).selectExpr("cast(id % 24 AS int) AS hour", "id % 24 * 3.0 + id % 5 AS kwh", "timestamp_seconds(id) AS ts")
+    threads, build = [], forecast._pipeline
+
+    def watched(*args):
+        threads.append(threading.get_ident())
+        return build(*args)
+
+    monkeypatch.setattr(forecast, "_pipeline", watched)
+    found = {}
+    for parallelism in (1, 3):
+        threads.clear()
+        scores, _ = forecast.select_model(rows, ["hour"], "kwh", folds=2, trees=2, parallelism=parallelism)
+        found[parallelism] = sorted((r.algorithm, round(r.rmse, 9), r.is_best) for r in scores.collect())
+        # Eight fits to judge by in the pool, and the winner outside of it.
+        assert len(threads) == 9 and len(set(threads[:-1])) == parallelism
+    assert found[1] == found[3] and len(found[1]) == 4
+
+
 def test_feature_export_has_text_timestamps(spark):
     df = spark.sql("SELECT timestamp_ntz'2023-03-01 00:15:00' AS ts, 1 AS x")
     assert features.as_text_timestamp(df).collect()[0]["timestamp"] == "2023-03-01 00:15:00"
