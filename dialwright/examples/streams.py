@@ -71,7 +71,8 @@ def stream_meter_delta(spark, sf_dir):
     files = deliveries([events.filter(delivery == number) for number in range(4)], folder)
     stream = ingest.file_stream(spark, folder, events.schema, files_per_batch=files)
     names = (["user_id"], "ts", "reading")
-    ingest.stream_meter_delta(stream, *names, out, checkpoint, tie=["event_id"], delay="9 days")
+    buckets = max(32, events.count() // 50_000)  # each key of the state holds about as many readings at any size
+    ingest.stream_meter_delta(stream, *names, out, checkpoint, tie=["event_id"], delay="9 days", buckets=buckets)
     waiting = ingest.pending_meter_delta(spark, checkpoint, *names, tie=["event_id"])
     return spark.read.parquet(out).drop("is_late").unionByName(waiting).drop("ts")
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
+import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,66 +114,112 @@ def upsert_batches(
 
 
 class _MeterDelta:
-    """One series of a stream: its state is the last emitted reading and the readings that wait for their turn."""
+    """One bucket of series: its state is the last emitted reading of each series and the readings that wait for their turn."""
 
-    def __init__(self, fields: T.StructType, result: T.StructType, ts: str, value: str, order: list[str], grace_ms: int) -> None:
-        self.names, self.result, self.grace_ms = fields.names, result, grace_ms
-        self.ts, self.value = (fields.names.index(c) for c in (ts, value))
-        self.order = [fields.names.index(c) for c in order]
+    def __init__(self, fields: T.StructType, result: T.StructType, series: list[str], ts: str, value: str, order: list[str], grace_ms: int) -> None:
+        self.fields, self.result, self.series, self.ts, self.value = fields, result, series, ts, value
+        self.order, self.grace_ms = order, grace_ms
 
-    def _place(self, row: tuple) -> list[tuple]:
-        """Order of readings, missing values first."""
-        return [(row[i] is not None, row[i]) for i in self.order]
+    def _arrived(self, part: pd.DataFrame) -> pd.DataFrame:
+        """Readings of a batch: whole numbers and microseconds with missing values, the rest as it comes."""
+        return pd.DataFrame({f.name: _column(f, part[f.name], part.get(f"{_MISSING}{f.name}")) for f in self.fields})
 
-    def _due(self, row: tuple) -> int:
-        """The millisecond from which a reading may be emitted; one without a time is due at once."""
-        at = row[self.ts]
-        return 0 if at is None else -((_EPOCH - at) // dt.timedelta(milliseconds=1))
+    def _remembered(self, state: GroupState) -> pd.DataFrame:
+        lists = state.get if state.exists else [[] for _ in range(len(self.fields) + 1)]
+        columns = {f.name: _stored_column(f, stored) for f, stored in zip(self.fields, lists, strict=False)}
+        return pd.DataFrame({**columns, "__last": np.array(lists[len(self.fields)], dtype=bool)})
 
     def __call__(self, key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, waiting = state.get if state.exists else (None, [])
-        last, waiting = last and tuple(last), [tuple(r) for r in waiting or []]
-        found = []
-        for part in parts:
-            for row in _python_rows(part[self.names]):
-                if last is not None and self._place(row) < self._place(last):
-                    found.append((*key, *row, None, True))
-                else:
-                    waiting.append(row)
+        old = self._remembered(state)
+        arrived = [p.assign(__last=False) for p in map(self._arrived, parts) if len(p)]
+        rows = pd.concat([old, *arrived], ignore_index=True) if arrived else old
+        if rows.empty:
+            return
+        rows["__new"] = np.arange(len(rows)) >= len(old)
+        rows["__at"] = np.arange(len(rows))
+        rows["__series"] = rows.groupby(self.series, dropna=False, sort=False).ngroup()
+        # Missing values first; of equal readings the older one.
+        rows = rows.sort_values(["__series", *self.order, "__at"], na_position="first", ignore_index=True)
+        # What comes before the last emitted reading of its series comes too late.
+        emitted_up_to = pd.Series(np.where(rows["__last"], rows.index, -1)).groupby(rows["__series"]).transform("max")
+        is_late = rows["__new"].to_numpy() & (rows.index.to_numpy() < emitted_up_to.to_numpy())
+        late, rows = rows[is_late], rows[~is_late].reset_index(drop=True)
         now = state.getCurrentWatermarkMs() + self.grace_ms
-        waiting.sort(key=self._place)
-        rest = []
-        for row in waiting:
-            if self._due(row) >= now:
-                rest.append(row)
-                continue
-            before = None if last is None else last[self.value]
-            step = None if before is None or row[self.value] is None or row[self.value] < before else row[self.value] - before
-            found.append((*key, *row, step, False))
-            last = row
-        state.update((last, rest))
-        if rest:
+        due = _due(rows[self.ts])
+        known = rows["__last"].to_numpy()
+        emit = ~known & (due < now)
+        value = rows[self.value]
+        before = value.shift()
+        both = (rows["__series"].diff().eq(0) & value.notna() & before.notna()).to_numpy(dtype=bool)
+        step = (value[both] - before[both])[(value[both] >= before[both]).to_numpy(dtype=bool)]
+        found = [
+            rows[emit].assign(__step=step.reindex(rows.index)[emit], __is_late=False),
+            late.assign(__step=None, __is_late=True),
+        ]
+        # Emitted rows lead their series, so the newest of them is the last one in order.
+        done = rows[known | emit].drop_duplicates("__series", keep="last").assign(__last=True)
+        waiting = rows[~known & ~emit]
+        state.update(tuple(_as_list(pd.concat([done[c], waiting[c]])) for c in [*self.fields.names, "__last"]))
+        if len(waiting):
             # A timeout has to lie ahead of the watermark.
-            state.setTimeoutTimestamp(max(min(map(self._due, rest)) - self.grace_ms, now - self.grace_ms + 1))
-        if found:
-            columns = zip(*found, strict=True)
-            yield pd.DataFrame({f.name: pd.Series(list(c), dtype=object) for f, c in zip(self.result, columns, strict=True)})
-
-
-def _python_rows(part: pd.DataFrame) -> Iterator[tuple]:
-    """Rows with missing values as None and whole numbers as such."""
-    columns = []
-    for name in part:
-        column = part[name]
-        if pd.api.types.is_datetime64_any_dtype(column):
-            values = column.dt.to_pydatetime() if column.notna().all() else [None if pd.isna(v) else v.to_pydatetime() for v in column]
-            columns.append(list(values))
-        else:
-            columns.append([None if pd.isna(v) else v for v in column.tolist()])
-    return zip(*columns, strict=True)
+            state.setTimeoutTimestamp(max(int(due[~known & ~emit].min()) - self.grace_ms, now - self.grace_ms + 1))
+        for part in found:
+            if len(part):
+                yield self._emitted(part)
+
+    def _emitted(self, part: pd.DataFrame) -> pd.DataFrame:
+        columns = dict(zip(self.result.names, [*(f.name for f in self.result.fields[:-2]), "__step", "__is_late"], strict=True))
+        types = {f.name: f.dataType for f in self.result}
+        return pd.DataFrame({out: _output(types[out], part[c]) for out, c in columns.items()})
+
+
+# Marks a missing whole number: pandas would turn a column with missing ones into floats.
+_MISSING = "__missing_"
+
+
+def _is_time(type_: T.DataType) -> bool:
+    return isinstance(type_, (T.TimestampType, T.TimestampNTZType))
+
+
+def _column(field: T.StructField, column: pd.Series, missing: pd.Series | None) -> object:
+    """A column of Spark rows: whole numbers and times (microseconds) as nullable integers."""
+    if _is_time(field.dataType):
+        return pd.arrays.IntegerArray(column.to_numpy().astype("datetime64[us]").astype("int64"), column.isna().to_numpy(copy=True))
+    if isinstance(field.dataType, T.IntegralType):
+        return pd.arrays.IntegerArray(column.to_numpy(dtype="int64", copy=True), missing.to_numpy(dtype=bool, copy=True))
+    if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+        return column.to_numpy(dtype="float64")
+    return column.astype(object).where(column.notna(), None).to_numpy()
+
+
+def _stored_column(field: T.StructField, stored: list) -> object:
+    """A column of the state."""
+    if _is_time(field.dataType) or isinstance(field.dataType, T.IntegralType):
+        missing = np.array([v is None for v in stored], dtype=bool)
+        return pd.arrays.IntegerArray(np.array([0 if v is None else v for v in stored], dtype="int64"), missing)
+    if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+        return np.array(stored, dtype="float64")
+    return pd.Series(stored, dtype=object).to_numpy()
+
+
+def _as_list(column: pd.Series) -> list:
+    """Python values, missing ones as None."""
+    return column.astype(object).where(column.notna(), None).tolist() if column.hasnans else column.tolist()
+
+
+def _output(type_: T.DataType, column: pd.Series) -> pd.Series:
+    """A column for Spark."""
+    if _is_time(type_):
+        times = column.to_numpy(dtype="int64", na_value=np.iinfo("int64").min)
+        return pd.Series(times.view("datetime64[us]"))
+    return pd.Series(_as_list(column), dtype=object)
+
+
+def _due(times: pd.Series) -> np.ndarray:
+    """The millisecond from which a reading may be emitted; one without a time is due at once."""
+    return np.where(times.isna(), 0, -(-times.to_numpy(dtype="int64", na_value=0) // 1000))
 
 
-_EPOCH = dt.datetime(1970, 1, 1)
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -196,6 +243,20 @@ def _interval_ms(spark: SparkSession, text: str) -> int:
     return span.first()["n"] // 1000
 
 
+def _state_name(field: T.StructField) -> str:
+    """Times are stored as microseconds, with their type before their name."""
+    return f"__{field.dataType.simpleString()}__{field.name}" if _is_time(field.dataType) else field.name
+
+
+def _from_state(name: str) -> Column:
+    """A column under the name and type that it has in the stream."""
+    found = re.fullmatch(r"__(timestamp|timestamp_ntz)__(.*)", name)
+    if not found:
+        return F.col(name)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.col(name), epoch).cast(found[1]).alias(found[2])
+
+
 def stream_meter_delta(
     stream: DataFrame,
     series: list[str],
@@ -207,6 +268,7 @@ def stream_meter_delta(
     tie: list[str] | None = None,
     delay: str = "0 seconds",
     late_for: str = "365 days",
+    buckets: int = 256,
 ) -> StreamingQuery:
     """Reset-aware meter deltas over a stream of files, with keyed state.
 
@@ -218,23 +280,36 @@ def stream_meter_delta(
     than ``delay`` and ``late_for`` together is dropped by Spark and counted in
     the query's progress.
 
-    The state is the last reading and the waiting ones of each series, in
-    RocksDB; a batch touches the series that it brings or that are due, and no
-    table is rewritten.  Output is appended exactly once.  A series is one key:
-    its readings of one batch are handled by one task.  ``ts`` is a timestamp
+    The series are dealt by hash to ``buckets`` keys, whose readings of a batch
+    are handled together, column by column; one call per series costs more than
+    its few readings.  The state is the last reading and the waiting ones of
+    each series of a bucket, in RocksDB; a batch touches the buckets that it
+    brings or that are due, and no table is rewritten.  Output is appended
+    exactly once.  A bucket's readings of one batch are handled by one task, so
+    ``buckets`` has to follow the size of the stream; it is part of the
+    checkpoint and stays as it was at the first start.  ``ts`` is a timestamp
     without a zone.
     """
     spark = stream.sparkSession
     order = [ts, *(tie or [])]
-    fields = T.StructType([f for f in stream.schema.fields if f.name not in series])
-    result = T.StructType(
-        [*[stream.schema[s] for s in series], *fields.fields, T.StructField(out, stream.schema[value].dataType), T.StructField("is_late", T.BooleanType())]
-    )
+    others = [f for f in stream.schema.fields if f.name not in series]
+    fields = T.StructType([*[stream.schema[s] for s in series], *others])
+    result = T.StructType([*fields.fields, T.StructField(out, stream.schema[value].dataType), T.StructField("is_late", T.BooleanType())])
     grace_ms = _interval_ms(spark, late_for)
     marked = _with_watermark(stream, ts, f"{_interval_ms(spark, delay) + grace_ms} milliseconds")
-    state = T.StructType([T.StructField("last", fields), T.StructField("waiting", T.ArrayType(fields))])
-    deltas = marked.groupBy(*series).applyInPandasWithState(
-        _MeterDelta(fields, result, ts, value, order, grace_ms), result, state, "append", GroupStateTimeout.EventTimeTimeout
+    whole = [f.name for f in fields if isinstance(f.dataType, T.IntegralType)]
+    # xxhash64 passes over missing values, so a series without a name has a bucket too.
+    bucket = F.pmod(F.xxhash64(*series), F.lit(buckets)).cast("int")
+    marked = marked.withColumns({"__bucket": bucket, **{f"{_MISSING}{c}": F.col(c).isNull() for c in whole}})
+    marked = marked.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(fields[c].dataType)) for c in whole})
+    state = T.StructType(
+        [
+            *[T.StructField(_state_name(f), T.ArrayType(T.LongType() if _is_time(f.dataType) else f.dataType)) for f in fields],
+            T.StructField("__last", T.ArrayType(T.BooleanType())),
+        ]
+    )
+    deltas = marked.groupBy("__bucket").applyInPandasWithState(
+        _MeterDelta(fields, result, series, ts, value, order, grace_ms), result, state, "append", GroupStateTimeout.EventTimeTimeout
     )
     with _state_in_rocksdb(spark):
         return ingest_new_files(deltas, table, checkpoint)
@@ -252,9 +327,7 @@ def pending_meter_delta(
     """Deltas of the readings that wait in the state of :func:`stream_meter_delta`."""
 
     with _state_in_rocksdb(spark):
-        states = spark.read.format("statestore").option("path", checkpoint).load().select("key.*", "value.groupState.*")
-        waiting = states.select(*series, F.inline("waiting"), F.lit(False).alias("__emitted"))
-        last = states.filter("last IS NOT NULL").select(*series, "last.*", F.lit(True).alias("__emitted"))
-        rows = waiting.unionByName(last)
-        delta = timeseries.meter_delta(rows, series, ts, value, out, tie)
-    return delta.filter("NOT __emitted").drop("__emitted")
+        states = spark.read.format("statestore").option("path", checkpoint).load().select("value.groupState.*")
+        rows = states.select(F.inline(F.arrays_zip(*states.columns)))
+        delta = timeseries.meter_delta(rows.select(*map(_from_state, rows.columns)), series, ts, value, out, tie)
+    return delta.filter("NOT __last").drop("__last")

@@ -72,6 +72,39 @@ def test_late_readings_wait_for_their_place(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
 
 
+def test_many_series_share_the_buckets_of_the_state(spark):
+    folder, out, checkpoint = (shared_dir(spark, n) for n in ("in", "out", "checkpoint"))
+    # 300 series, some of them without a name; times of the second delivery overlap those of the first.
+    rows = spark.range(3000).selectExpr(
+        "nullif(id % 30, 3) AS meter",
+        "if(id % 10 = 4, null, concat('p', id % 10 + id % 300 div 30)) AS part",
+        "id AS event_id",
+        "if(id % 11 = 5, null, timestampadd(SECOND, cast(id div 300 * 600 + id % 7 * 60 AS int), timestamp_ntz'2024-01-01')) AS ts",
+        "if(id % 13 = 6, null, 1152921504606846977 + id % 600 * 3) AS reading",
+        "cast(id AS decimal(20,3)) / 7 AS price",
+        "timestamp_seconds(id) AS sent",
+        "if(id % 5 = 0, null, id / 3) AS level",
+    )
+    names = (["meter", "part"], "ts", "reading")
+    for turn in range(3):
+        write_table(rows.filter(f"least(event_id div 1000 + if(event_id % 9 = 0, 1, 0), 2) = {turn}").coalesce(2), folder, "append")
+        stream = ingest.file_stream(spark, folder, rows.schema)
+        ingest.stream_meter_delta(stream, *names, out, checkpoint, tie=["event_id"], delay="3 hours", buckets=4)
+    emitted = spark.read.parquet(out)
+    # The first readings without a time come out at once; those of later deliveries are older than what has come out.
+    late = emitted.filter("is_late")
+    assert late.count() > 0 and late.filter("ts IS NOT NULL OR delta IS NOT NULL").count() == 0
+    with ingest._state_in_rocksdb(spark):
+        assert spark.read.format("statestore").option("path", checkpoint).load().count() <= 4
+    waiting = ingest.pending_meter_delta(spark, checkpoint, *names, tie=["event_id"])
+    assert waiting.count() > 0
+    got = emitted.filter("NOT is_late").drop("is_late").unionByName(waiting)
+    expected = timeseries.meter_delta(rows.join(late.select("event_id"), "event_id", "left_anti"), *names, tie=["event_id"])
+    assert got.schema["sent"].dataType == rows.schema["sent"].dataType
+    assert got.count() == expected.count() == 3000 - late.count()
+    assert got.exceptAll(expected.select(got.columns)).count() == 0
+
+
 def test_new_files_are_read_once(spark, sf_dir):
     events, folder = three_files(spark, sf_dir)
     out, checkpoint = shared_dir(spark, "ingested"), shared_dir(spark, "checkpoint")
